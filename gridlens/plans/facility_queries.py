@@ -237,12 +237,12 @@ def q_encode_codes(spark, sf_dir):
 
 @register(
     "like_filter",
-    "SELECT p_partkey, p_name, p_brand FROM part WHERE p_name LIKE '%green%'",
+    "SELECT p_partkey, p_name, p_brand FROM part WHERE p_name LIKE '%red%'",
 )
 def q_like_filter(spark, sf_dir):
     # Catalogue search: a LIKE pattern over a landed text column (pushed to the scan).
     part = tables.load(spark, sf_dir, "part")
-    return part.filter(F.col("p_name").like("%green%")).select("p_partkey", "p_name", "p_brand")
+    return part.filter(F.col("p_name").like("%red%")).select("p_partkey", "p_name", "p_brand")
 
 
 # ---------------------------------------------------------------- suburbs
