@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlens.session import materialize
+
 DEFAULT_BUCKETS = 64
 
 
@@ -73,6 +75,7 @@ def exact_quantiles(
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
     buckets: int = DEFAULT_BUCKETS,
+    checkpoint: bool = True,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas / numpy default):
     position h = (n - 1) p, value = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
@@ -82,6 +85,9 @@ def exact_quantiles(
     group_cols = list(group_cols)
     vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     hist = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    if checkpoint:
+        # the histogram (distinct values) is read four times below
+        hist = materialize(hist)
     cum = prefix_sums(hist, "_v", ["_n"], group_cols, buckets)  # cum__n: rows with value <= _v
     sizes = hist.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = sizes.select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.operators.ordered import exact_quantiles
+from gridlens.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -21,6 +22,8 @@ def feature_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """describe(): count, mean, std (sample), min, 25/50/75 % (linear
     interpolation, exact), max — one row per feature."""
     present = [c for c in cols if c in df.columns]
+    # several passes follow (moments, bounds, ranks): read the features once
+    df = materialize(df.select(*present))
     long = df.select(
         F.explode(
             F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present])

@@ -86,3 +86,14 @@ def local_dir(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df):
+    """Cut the lineage of a frame that several later passes read.
+
+    A reliable checkpoint into the shared checkpoint folder (never a local
+    checkpoint): the data survives the loss of the executors that computed
+    it, and the passes that follow read it instead of recomputing the plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
