@@ -24,12 +24,15 @@ def upsert_latest(
     order: Sequence[Column] = (),
     stamp_col: str | None = None,
     stamp=None,
+    version_col: str | None = None,
 ) -> DataFrame:
     """Next table version: every key once, batch rows replacing current rows.
 
     ``order``: ordering inside the batch, first = winner (default: all
     columns, for a deterministic survivor).  ``stamp_col``/``stamp``: refresh
-    a load-time column on the rows taken from the batch.
+    a load-time column on the rows taken from the batch.  ``version_col``:
+    a load / version number carried by the rows; the highest wins before the
+    batch-over-current rule (so an older load arriving late loses).
     """
     if stamp_col is not None:
         batch = batch.withColumn(stamp_col, F.lit(stamp).cast("timestamp"))
@@ -38,7 +41,8 @@ def upsert_latest(
     batch = batch.select(*current.columns)
     both = current.withColumn("_prio", F.lit(0)).unionByName(batch.withColumn("_prio", F.lit(1)))
     tie = list(order) or [F.col(f"`{c}`").asc_nulls_last() for c in current.columns if c not in keys]
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.col("_prio").desc(), *tie)
+    first = [F.col(version_col).desc()] if version_col else []
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*first, F.col("_prio").desc(), *tie)
     return both.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio")
 
 
