@@ -21,8 +21,8 @@ def orders_loads(spark, sf_dir):
     o = tables.load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
-    current = o.filter(F.col("o_orderdate") < F.lit(CURRENT_BEFORE).cast("timestamp"))
-    batch = o.filter(F.col("o_orderdate") >= F.lit(BATCH_FROM).cast("timestamp")).withColumns(
+    current = o.filter(F.col("o_orderdate") < F.lit(CURRENT_BEFORE).cast("timestamp_ntz"))
+    batch = o.filter(F.col("o_orderdate") >= F.lit(BATCH_FROM).cast("timestamp_ntz")).withColumns(
         {"o_totalprice": F.col("o_totalprice") * F.lit(1.1), "o_orderstatus": F.lit("F")}
     )
     return current, batch
@@ -69,8 +69,8 @@ def q_upsert_composite_key(spark, sf_dir):
     li = tables.load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    current = li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp"))
-    batch = li.filter(F.col("l_shipdate") >= F.lit("1998-07-01").cast("timestamp")).withColumn(
+    current = li.filter(F.col("l_shipdate") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    batch = li.filter(F.col("l_shipdate") >= F.lit("1998-07-01").cast("timestamp_ntz")).withColumn(
         "l_quantity", F.col("l_quantity") + F.lit(1.0)
     )
     order = [F.col("l_shipdate").desc(), F.col("l_quantity"), F.col("l_extendedprice")]
@@ -110,8 +110,8 @@ WHERE rn = 1""", more=_RUNS_CTE),
 def q_runs_upsert(spark, sf_dir):
     runs = bindings.runs(spark, sf_dir)
     ts = F.col("trained_at")
-    current = runs.filter(ts < F.lit("1999-01-01").cast("timestamp"))
-    batch = runs.filter(ts >= F.lit("1998-07-01").cast("timestamp")).withColumn(
+    current = runs.filter(ts < F.lit("1999-01-01").cast("timestamp_ntz"))
+    batch = runs.filter(ts >= F.lit("1998-07-01").cast("timestamp_ntz")).withColumn(
         "model_version", F.lit("price_ratio_v2")
     )
     return rounded(upsert.upsert_latest(current, batch, ["run_id"]))

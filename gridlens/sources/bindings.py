@@ -40,7 +40,7 @@ def lineitem_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber",
         F.col("l_quantity").alias("actual"),
         (F.col("l_extendedprice") * F.lit(LINEITEM_PRICE_SCALE)).alias("predicted"),
-        F.date_trunc("month", F.col("l_shipdate")).alias("run_month"),
+        F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz").alias("run_month"),
     )
 
 
