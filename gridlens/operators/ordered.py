@@ -23,7 +23,16 @@ from pyspark.sql import functions as F
 
 from gridlens.session import materialize
 
-DEFAULT_BUCKETS = 64
+MIN_BUCKETS = 64
+MAX_BUCKETS = 8192
+
+
+def default_buckets(df: DataFrame) -> int:
+    """Ranges per group: as many as shuffle partitions (which a cluster sizes
+    to the data, ~128 MB each), at least 64, at most 8192 — so one range is
+    about one partition's worth of rows, not a fixed fraction of the table."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
 
 
 def prefix_sums(
@@ -31,15 +40,18 @@ def prefix_sums(
     order_col: str,
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     prefix: str = "cum_",
 ) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col <= this row's``
     (same group).  Rows with equal ``order_col`` get the same running total."""
     group_cols = list(group_cols)
+    buckets = buckets or default_buckets(df)
     probs = [i / buckets for i in range(1, buckets)]
+    # sketch accuracy well above the bucket count keeps the ranges even
+    accuracy = max(10000, 8 * buckets)
     bounds = df.groupBy(*group_cols).agg(
-        F.percentile_approx(order_col, probs, 10000).alias("_bounds")
+        F.percentile_approx(order_col, probs, accuracy).alias("_bounds")
     )
     # One row per group: a bounded broadcast when the groups are a fixed,
     # small set (classes, feature names); the no-group case is one row.
@@ -74,7 +86,7 @@ def exact_quantiles(
     value_col: str,
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     checkpoint: bool = True,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas / numpy default):
