@@ -161,17 +161,18 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
 
 
 def fit_cached(pipeline: Pipeline, train: DataFrame, root: str, run_id: str) -> PipelineModel:
-    """Load the model saved under ``root/run_id`` or fit and save it.
+    """Load the model saved under ``root/run_id`` or fit, save and load it.
 
     ``run_id`` should identify the training data and parameters (e.g. the
     data fingerprint plus a parameter tag), so the same inputs reuse the same
-    model instead of training it again."""
+    model instead of training it again.  The returned model is always the
+    saved copy: it carries no training summary, which would otherwise pin the
+    training session inside every scoring task."""
     try:
         return load_model(root, run_id)
     except Exception:  # noqa: BLE001 - not saved yet
-        model = pipeline.fit(train)
-        save_model(model, root, run_id)
-        return model
+        save_model(pipeline.fit(train), root, run_id)
+        return load_model(root, run_id)
 
 
 def iteration_curve(spark: SparkSession, model: PipelineModel, data: DataFrame, loss: str | None = None) -> DataFrame:

@@ -40,6 +40,11 @@ def run_id_for(train, tag: str) -> str:
     return f"{tag}_{fp}"
 
 
+def fit(spark, pipeline, train, tag):
+    """Fit once per (training data, model tag); returns the saved copy."""
+    return models.fit_cached(pipeline, train, model_root(spark), run_id_for(train, tag))
+
+
 def headline_regressor(spark, data):
     """The 100-tree regressor, trained once per training set and reused."""
     train = _train(data)
@@ -96,21 +101,21 @@ def q_gbt_regression_metrics(spark, sf_dir):
 @register("scaled_glm_metrics")
 def q_scaled_glm_metrics(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    model = models.scaled_glm_pipeline(CELL_X, CELL_Y).fit(_train(data))
+    model = fit(spark, models.scaled_glm_pipeline(CELL_X, CELL_Y), _train(data), "poisson_glm")
     return _regression_report(model, data)
 
 
 @register("gbt_classifier_metrics")
 def q_gbt_classifier_metrics(spark, sf_dir):
     data = facility_model_data(spark, sf_dir)
-    model = models.gbt_classifier_pipeline(FAC_X, FAC_Y).fit(_train(data))
+    model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y), _train(data), "gbt_classifier")
     return _classifier_report(model, data)
 
 
 @register("mlp_classifier_metrics")
 def q_mlp_classifier_metrics(spark, sf_dir):
     data = facility_model_data(spark, sf_dir)
-    model = models.mlp_classifier_pipeline(FAC_X, FAC_Y).fit(_train(data))
+    model = fit(spark, models.mlp_classifier_pipeline(FAC_X, FAC_Y), _train(data), "mlp_classifier")
     return _classifier_report(model, data)
 
 
@@ -128,13 +133,14 @@ def q_logreg_baseline_metrics(spark, sf_dir):
     data = materialize(split.stratified_split(rows, ["_id"], FAC_Y))
     pipe = models.logreg_baseline_pipeline(["distance_to_center", "gender_encoded"], ["Group", "Category"],
                                            ["has_changing_place"], FAC_Y)
-    return _classifier_report(pipe.fit(_train(data)), data)
+    return _classifier_report(fit(spark, pipe, _train(data), "logreg_baseline"), data)
 
 
 @register("class_weighted_gbt_metrics")
 def q_class_weighted_gbt_metrics(spark, sf_dir):
     data = split.class_weights(facility_model_data(spark, sf_dir), FAC_Y)
-    model = models.gbt_classifier_pipeline(FAC_X, FAC_Y, weight_col="weight").fit(_train(data))
+    model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y, weight_col="weight"), _train(data),
+                "gbt_classifier_weighted")
     return _classifier_report(model, data)
 
 
@@ -143,7 +149,8 @@ def q_gbt_early_stopping(spark, sf_dir):
     data = facility_model_data(spark, sf_dir)
     data = split.nested_split(data.drop("split"), ["_id"])  # train / valid / test
     fit_on = data.filter(F.col("split") != "test").withColumn("is_valid", F.col("split") == "valid")
-    model = models.gbt_classifier_pipeline(FAC_X, FAC_Y, validation_col="is_valid").fit(fit_on)
+    model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y, validation_col="is_valid"), fit_on,
+                "gbt_early_stopping")
     curve = models.iteration_curve(spark, model, data.filter(F.col("split") == "valid"), "logistic")
     trees = model.stages[-1].getNumTrees
     return rounded(curve.withColumn("trees_kept", F.lit(trees)))
