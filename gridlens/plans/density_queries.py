@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gridlens.operators import clean, density, normalize
 from gridlens.plans.oracle_sql import with_ctes
 from gridlens.plans.registry import register, rounded

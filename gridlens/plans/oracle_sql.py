@@ -6,8 +6,6 @@ SQL so each oracle query is self-contained: ``with_ctes(names, body)``.
 
 from __future__ import annotations
 
-R = 6  # digits, matches registry.DIGITS
-
 _TRUE3 = "('true', 'yes', '1')"
 _WIDE = "('Yes', 'yes', 'YES', 'TRUE', 'true', 'True')"
 _STRICT = "('Yes', 'yes', 'YES', 'True', 'true')"

@@ -99,10 +99,8 @@ def _load() -> None:
     from gridlens.plans import (  # noqa: F401
         density_queries,
         facility_queries,
+        io_queries,
+        model_queries,
+        report_queries,
+        table_queries,
     )
-    for mod in ("table_queries", "report_queries", "model_queries", "io_queries"):
-        try:
-            __import__(f"gridlens.plans.{mod}")
-        except ModuleNotFoundError as e:  # modules still being written
-            if e.name != f"gridlens.plans.{mod}":
-                raise

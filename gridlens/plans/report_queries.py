@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlens.functions import columns as C
 from gridlens.operators import datasets, metrics, report, split
 from gridlens.plans.facility_queries import cell_rows, facility_rows
 from gridlens.plans.oracle_sql import with_ctes
@@ -393,5 +392,3 @@ def q_standard_scale(spark, sf_dir):
     li = split.hash_split(li, ["l_orderkey", "l_linenumber"])
     return rounded(standardize(li, _SCALE_COLS, fit_on=F.col("split") == "train"))
 
-
-_unused = C  # column helpers re-exported for notebooks

@@ -9,7 +9,6 @@ temporary folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,15 +78,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/gridlens-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_dir(path: str) -> str:
-    """Strip a ``file:`` scheme, for code that must touch the path directly."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df):
     """Cut the lineage of a frame that several later passes read.
 
