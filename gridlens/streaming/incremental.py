@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from gridlens.operators.upsert import publish_version, upsert_latest
@@ -67,7 +68,14 @@ def incremental_upsert(
     )
     query.awaitTermination()
     last = state["last"]
-    if last is None:  # nothing new this run: newest existing version
-        progress = query.lastProgress or {}
-        last = int(progress.get("batchId", 0))
+    if last is None:
+        # nothing new this run: the newest version already published (the
+        # version folders are ``v=<n>`` partitions of the table root)
+        try:
+            newest = spark.read.parquet(table_root).agg(F.max("v").alias("v")).first()
+        except AnalysisException:  # no version published yet
+            newest = None
+        if newest is None or newest["v"] is None:
+            return initial if initial is not None else spark.createDataFrame([], schema)
+        last = int(newest["v"])
     return spark.read.parquet(_version_path(table_root, last))
