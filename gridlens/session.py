@@ -20,6 +20,9 @@ from pyspark.sql import SparkSession
 # when a stage turns out small.
 SCALE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    # runtime-checked broadcast: an aggregated dimension (suburb or cell
+    # counts) up to this size is broadcast instead of shuffling the rows
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
