@@ -207,3 +207,36 @@ def q_stage_counts(spark, sf_dir):
             "suburbs": density.suburb_stats(dens, sort=False),
         }
     )
+
+
+# One stamp per run, passed in as a literal (every copy of the table agrees).
+RUN_STAMP = "2026-01-01 00:00:00"
+
+
+@register(
+    "upsert_with_load_stamp",
+    with_ctes(["fac"], f"""
+SELECT "_id", RND("Latitude") AS "Latitude", RND("Longitude") AS "Longitude", "Name", "Suburb", loaded_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY "_id" ORDER BY prio DESC, "Latitude" ASC NULLS LAST,
+                               "Longitude" ASC NULLS LAST, "Name" ASC NULLS LAST, "Suburb" ASC NULLS LAST) AS rn
+  FROM (
+    SELECT "_id", "Latitude", "Longitude", "Name", "Suburb", CAST(NULL AS TIMESTAMP) AS loaded_at, 0 AS prio
+    FROM fac WHERE "Group" IN ('AFRICA', 'AMERICA', 'ASIA')
+    UNION ALL
+    SELECT "_id", "Latitude", "Longitude", upper("Name"), "Suburb", TIMESTAMP '{RUN_STAMP}', 1
+    FROM fac WHERE "Group" IN ('ASIA', 'EUROPE', 'MIDDLE EAST')) u) t
+WHERE rn = 1"""),
+)
+def q_upsert_with_load_stamp(spark, sf_dir):
+    # Raw facility load on `_id`: the current table holds three regions, the
+    # batch re-delivers one of them (names revised) plus two new ones; batch
+    # rows replace all columns and get the run's load stamp.
+    fac = facilities(spark, sf_dir).select("_id", "Latitude", "Longitude", "Name", "Suburb", "Group")
+    current = fac.filter(F.col("Group").isin("AFRICA", "AMERICA", "ASIA")).drop("Group")
+    batch = fac.filter(F.col("Group").isin("ASIA", "EUROPE", "MIDDLE EAST")).drop("Group").withColumn(
+        "Name", F.upper("Name")
+    )
+    stamp = F.lit(RUN_STAMP).cast("timestamp_ntz")
+    out = upsert.upsert_latest(current.withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")),
+                               batch.withColumn("loaded_at", stamp), ["_id"])
+    return rounded(out)
