@@ -85,7 +85,7 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
-    return prefix_sums(h, "score", ["pos", "neg"])
+    return prefix_sums(h, "score", ["pos", "neg"], distinct_order=True)
 
 
 def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -42,10 +42,21 @@ def prefix_sums(
     group_cols: Sequence[str] = (),
     buckets: int | None = None,
     prefix: str = "cum_",
+    distinct_order: bool = False,
 ) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col <= this row's``
-    (same group).  Rows with equal ``order_col`` get the same running total."""
+    (same group).  Rows with equal ``order_col`` get the same running total.
+
+    Unless the caller knows ``order_col`` is distinct within each group
+    (``distinct_order=True``), rows are first pre-aggregated per (group,
+    value) — map-side combined — so a value repeated by a third of all rows
+    is one row in the ranges; the totals are joined back afterwards."""
     group_cols = list(group_cols)
+    if not distinct_order:
+        per_value = df.groupBy(*group_cols, order_col).agg(*[F.sum(c).alias(c) for c in sum_cols])
+        cum = prefix_sums(per_value, order_col, sum_cols, group_cols, buckets, prefix, distinct_order=True)
+        cum = cum.select(*group_cols, order_col, *[f"{prefix}{c}" for c in sum_cols])
+        return df.join(cum, [*group_cols, order_col])
     buckets = buckets or default_buckets(df)
     probs = [i / buckets for i in range(1, buckets)]
     # sketch accuracy well above the bucket count keeps the ranges even
@@ -100,7 +111,7 @@ def exact_quantiles(
     if checkpoint:
         # the histogram (distinct values) is read four times below
         hist = materialize(hist)
-    cum = prefix_sums(hist, "_v", ["_n"], group_cols, buckets)  # cum__n: rows with value <= _v
+    cum = prefix_sums(hist, "_v", ["_n"], group_cols, buckets, distinct_order=True)  # cum__n: rows <= _v
     sizes = hist.groupBy(*group_cols).agg(F.sum("_n").alias("_total"))
     targets = sizes.select(
         *group_cols,

@@ -53,11 +53,14 @@ def group_split(df: DataFrame, group_col: str, test_fraction: float = 0.2, seed:
 
 def stratified_split(df: DataFrame, keys: Sequence[str], label: str, test_fraction: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
-    """Exactly ceil(test_fraction * n_c) rows of every class go to test — the
-    ones with the smallest (hash, key) in that class."""
+    """About ceil(test_fraction * n_c) rows of every class go to test — the
+    ones with the smallest key hash in that class; exact when keys are unique
+    (rows sharing a key always stay together)."""
     h = stable_hash(seed, *keys)
     tagged = df.withColumns({"_h": h, "_one": F.lit(1)})
-    ranked = prefix_sums(tagged, "_h", ["_one"], [label])  # cum__one = rows with hash <= own
+    # rows with hash <= own; rows sharing a key (even a third of the table)
+    # are pre-aggregated to one row per (class, hash) inside prefix_sums
+    ranked = prefix_sums(tagged, "_h", ["_one"], [label])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     quota = F.ceil(F.col("_nc") * F.lit(float(test_fraction)))
     # one row per class: AQE broadcasts it when small, no hint needed
