@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.functions.columns import grid_bin
+from gridlens.operators.ordered import prefix_sums
 
 # Default hyper-parameters of the two boosted-tree models.
 GBT_REGRESSION_DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1,
@@ -84,6 +85,31 @@ def geo_cell_feature(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude
     return indexer.fit(with_cell).transform(with_cell)
 
 
+def frequency_index(df: DataFrame, keys: Sequence[str] = ("lat_bin", "lon_bin"), out: str = "cell_index") -> DataFrame:
+    """Dense 0-based index of each distinct (integer) key pair, most frequent
+    first, ties by the keys ascending — a categorical encoding computed
+    entirely on the executors (no label list on the driver, unlike a fitted
+    ``StringIndexer``), so it scales with the number of distinct cells.
+
+    index = #cells with a higher count + #cells with the same count and
+    smaller keys; both terms are exact bucketed prefix sums.  The key pair is
+    packed into one order-preserving long (each bin within +-2^31)."""
+    k1, k2 = keys
+    counts = df.groupBy(k1, k2).agg(F.count(F.lit(1)).alias("_n"))
+    per_n = counts.groupBy("_n").agg(F.count(F.lit(1)).alias("_m")).withColumn("_neg_n", -F.col("_n"))
+    higher = prefix_sums(per_n, "_neg_n", ["_m"], distinct_order=True)  # cells with count >= n
+    higher = higher.select("_n", (F.col("cum__m") - F.col("_m")).alias("_above"))
+    packed = counts.withColumns({
+        "_pack": F.shiftleft(F.col(k1).cast("long"), 32) + (F.col(k2).cast("long") + F.lit(2**31)),
+        "_one": F.lit(1),
+    })
+    within = prefix_sums(packed, "_pack", ["_one"], ["_n"], distinct_order=True, small_groups=False)
+    index = within.join(higher, "_n").select(
+        k1, k2, (F.col("_above") + F.col("cum__one") - 1).cast("double").alias(out)
+    )
+    return df.join(index, [k1, k2], "left")
+
+
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 

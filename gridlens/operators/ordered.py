@@ -43,6 +43,7 @@ def prefix_sums(
     buckets: int | None = None,
     prefix: str = "cum_",
     distinct_order: bool = False,
+    small_groups: bool = True,
 ) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col <= this row's``
     (same group).  Rows with equal ``order_col`` get the same running total.
@@ -54,7 +55,8 @@ def prefix_sums(
     group_cols = list(group_cols)
     if not distinct_order:
         per_value = df.groupBy(*group_cols, order_col).agg(*[F.sum(c).alias(c) for c in sum_cols])
-        cum = prefix_sums(per_value, order_col, sum_cols, group_cols, buckets, prefix, distinct_order=True)
+        cum = prefix_sums(per_value, order_col, sum_cols, group_cols, buckets, prefix, distinct_order=True,
+                          small_groups=small_groups)
         cum = cum.select(*group_cols, order_col, *[f"{prefix}{c}" for c in sum_cols])
         return df.join(cum, [*group_cols, order_col])
     buckets = buckets or default_buckets(df)
@@ -65,9 +67,12 @@ def prefix_sums(
         F.percentile_approx(order_col, probs, accuracy).alias("_bounds")
     )
     # One row per group: a bounded broadcast when the groups are a fixed,
-    # small set (classes, feature names); the no-group case is one row.
+    # small set (classes, feature names); the no-group case is one row.  With
+    # ``small_groups=False`` (groups that grow with the data) the join is left
+    # to AQE, which broadcasts only what turns out small at run time.
     if group_cols:
-        with_b = df.join(F.broadcast(bounds), group_cols)
+        b = F.broadcast(bounds) if small_groups else bounds
+        with_b = df.join(b, group_cols)
     else:
         with_b = df.crossJoin(F.broadcast(bounds))
     ocol = F.col(order_col)
@@ -87,7 +92,8 @@ def prefix_sums(
     )
     local = with_b.withColumns({f"_l_{c}": F.sum(c).over(upto) for c in sum_cols})
     # offsets: groups x buckets rows, bounded by the same argument as above
-    out = local.join(F.broadcast(offsets), [*group_cols, "_bucket"])
+    off = F.broadcast(offsets) if (small_groups or not group_cols) else offsets
+    out = local.join(off, [*group_cols, "_bucket"])
     out = out.withColumns({f"{prefix}{c}": F.col(f"_l_{c}") + F.col(f"_o_{c}") for c in sum_cols})
     return out.drop("_bucket", *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
 

@@ -257,6 +257,22 @@ def q_geo_cell_feature(spark, sf_dir):
     return geo_cell_feature(rows).select("_id", "grid_cell", "cell_index")
 
 
+@register(
+    "geo_cell_index",
+    with_ctes(["facility_rows"], """
+SELECT r."_id", r.lat_bin, r.lon_bin, CAST(i.cell_index AS DOUBLE) AS cell_index
+FROM facility_rows r
+JOIN (SELECT lat_bin, lon_bin, row_number() OVER (ORDER BY count(*) DESC, lat_bin, lon_bin) - 1 AS cell_index
+      FROM facility_rows GROUP BY lat_bin, lon_bin) i
+  ON r.lat_bin = i.lat_bin AND r.lon_bin = i.lon_bin"""),
+)
+def q_geo_cell_index(spark, sf_dir):
+    from gridlens.operators.models import frequency_index
+
+    rows = facility_rows(spark, sf_dir).select("_id", "lat_bin", "lon_bin")
+    return frequency_index(rows).select("_id", "lat_bin", "lon_bin", "cell_index")
+
+
 # ---------------------------------------------------------------- metrics
 
 

@@ -71,3 +71,16 @@ def test_exact_quantiles_match_numpy(spark):
     got = {r["p"]: r["quantile"] for r in ordered.exact_quantiles(df, "x", [0.25, 0.5, 0.75, 0.9]).collect()}
     for p in (0.25, 0.5, 0.75, 0.9):
         assert abs(got[p] - np.quantile(vals, p)) < 1e-12
+
+
+def test_frequency_index_matches_pandas(spark):
+    from gridlens.operators.models import frequency_index
+
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.integers(-5, 5, 800), "b": rng.integers(-3, 3, 800)})
+    got = frequency_index(spark.createDataFrame(pdf), ("a", "b")).select("a", "b", "cell_index").distinct().toPandas()
+    cnt = pdf.groupby(["a", "b"]).size().reset_index(name="n")
+    cnt = cnt.sort_values(["n", "a", "b"], ascending=[False, True, True]).reset_index(drop=True)
+    cnt["exp"] = np.arange(len(cnt), dtype=float)
+    m = cnt.merge(got, on=["a", "b"])
+    assert len(m) == len(cnt) and (m["exp"] == m["cell_index"]).all()
