@@ -28,6 +28,8 @@ SCALE_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # no per-call Python call-site capture while building plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ facility; nothing is sampled or capped, so the work grows with the table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -17,12 +17,18 @@ TABLES = (
 ).split()
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+_LOADED: dict[tuple[int, str], DataFrame] = {}
 
 
-def _mod(c: Column, m: int) -> Column:
-    return F.pmod(c, F.lit(m))
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a lazy DataFrame.  Memoised per session and path: the
+    test tables are read-only, and re-listing files and re-reading Parquet
+    footers for every query costs more than the small queries themselves."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def facility_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,62 +50,39 @@ def facility_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = cust.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).join(
         F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    k = F.col("c_custkey")
+    # One selectExpr: the expressions are parsed JVM-side in one call.
     # Coordinates are multiples of 2^-9 / 2^-14 degrees, so every sum of them
     # is exact in double precision and averages do not depend on row order.
-    lat = F.lit(-32.0) + F.col("n_nationkey") * F.lit(2.0**-6) + _mod(k, 13) * F.lit(2.0**-9)
-    lon = F.lit(115.75) + F.floor(F.col("c_acctbal")) * F.lit(2.0**-14)
-    seg = F.col("c_mktsegment")
-    return df.select(
-        F.when(_mod(k, 211) == 0, F.lit(None))
-        .when(_mod(k, 50) == 49, k - 1)
-        .otherwise(k)
-        .cast("string")
-        .alias("_id"),
-        F.when(_mod(k, 97) == 0, F.lit(None).cast("string"))
-        .when(_mod(k, 89) == 0, F.lit("unknown"))
-        .when(_mod(k, 83) == 0, F.lit("NaN"))
-        .when(_mod(k, 101) == 0, F.lit("95.0"))
-        .otherwise(lat.cast("string"))
-        .alias("Latitude"),
-        lon.cast("string").alias("Longitude"),
-        F.col("c_name").alias("Name"),
-        F.concat(F.lit("Lot "), k.cast("string")).alias("Address1"),
-        F.when(_mod(k, 19) == 0, F.lit(None))
-        .when(_mod(k, 3) == 0, F.col("n_name"))
-        .cast("string")
-        .alias("Suburb"),
-        F.when(_mod(k, 19) == 0, F.lit(None))
-        .when(_mod(k, 3) != 0, F.col("n_name"))
-        .cast("string")
-        .alias("Town"),
-        (F.lit(6000) + F.col("n_nationkey") * 2 + _mod(k, 2)).cast("string").alias("Postcode"),
-        F.col("r_name").alias("State"),
-        F.when(seg == "BUILDING", F.lit("Park or reserve"))
-        .when(seg == "MACHINERY", F.lit("Sporting facility"))
-        .when(seg == "HOUSEHOLD", F.lit("Shopping centre"))
-        .when(seg == "FURNITURE", F.lit(None))
-        .otherwise(seg)
-        .alias("Category"),
-        F.when(_mod(k, 6) == 0, F.lit("Yes"))
-        .when(_mod(k, 6) == 1, F.lit("true"))
-        .when(_mod(k, 6) == 2, F.lit("TRUE"))
-        .when(_mod(k, 6) == 3, F.lit("No"))
-        .when(_mod(k, 6) == 4, F.lit("False"))
-        .alias("Accessible"),
-        F.when(_mod(k, 7) == 0, F.lit("True"))
-        .when(_mod(k, 7) == 1, F.lit("False"))
-        .when(_mod(k, 7) == 2, F.lit("TRUE"))
-        .alias("ChangingPlaces"),
-        F.when(_mod(k, 5) == 0, F.lit("Unisex"))
-        .when(_mod(k, 5) == 1, F.lit("Male"))
-        .when(_mod(k, 5) == 2, F.lit("Female"))
-        .when(_mod(k, 5) == 3, F.lit("Male/Female"))
-        .alias("Gender"),
-        F.when(_mod(k, 8).isin(0, 1), F.lit("True")).otherwise(F.lit("False")).alias("Unisex"),
-        F.when(_mod(k, 8) == 5, F.lit("TRUE")).alias("AllGender"),
-        F.when(_mod(k, 8).isin(2, 3), F.lit("yes")).alias("Male"),
-        F.when(_mod(k, 8).isin(3, 4), F.lit("1")).alias("Female"),
+    return df.selectExpr(
+        """CAST(CASE WHEN pmod(c_custkey, 211) = 0 THEN NULL
+                     WHEN pmod(c_custkey, 50) = 49 THEN c_custkey - 1 ELSE c_custkey END AS STRING) AS _id""",
+        """CASE WHEN pmod(c_custkey, 97) = 0 THEN CAST(NULL AS STRING)
+                WHEN pmod(c_custkey, 89) = 0 THEN 'unknown'
+                WHEN pmod(c_custkey, 83) = 0 THEN 'NaN'
+                WHEN pmod(c_custkey, 101) = 0 THEN '95.0'
+                ELSE CAST(-32.0D + n_nationkey * 0.015625D + pmod(c_custkey, 13) * 0.001953125D AS STRING)
+           END AS Latitude""",
+        "CAST(115.75D + floor(c_acctbal) * 0.00006103515625D AS STRING) AS Longitude",
+        "c_name AS Name",
+        "concat('Lot ', CAST(c_custkey AS STRING)) AS Address1",
+        """CAST(CASE WHEN pmod(c_custkey, 19) = 0 THEN NULL
+                     WHEN pmod(c_custkey, 3) = 0 THEN n_name END AS STRING) AS Suburb""",
+        """CAST(CASE WHEN pmod(c_custkey, 19) = 0 THEN NULL
+                     WHEN pmod(c_custkey, 3) != 0 THEN n_name END AS STRING) AS Town""",
+        "CAST(6000 + n_nationkey * 2 + pmod(c_custkey, 2) AS STRING) AS Postcode",
+        "r_name AS State",
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 'Park or reserve' WHEN 'MACHINERY' THEN 'Sporting facility'
+                             WHEN 'HOUSEHOLD' THEN 'Shopping centre' WHEN 'FURNITURE' THEN NULL
+                             ELSE c_mktsegment END AS Category""",
+        """CASE pmod(c_custkey, 6) WHEN 0 THEN 'Yes' WHEN 1 THEN 'true' WHEN 2 THEN 'TRUE'
+                                   WHEN 3 THEN 'No' WHEN 4 THEN 'False' END AS Accessible""",
+        "CASE pmod(c_custkey, 7) WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'TRUE' END AS ChangingPlaces",
+        """CASE pmod(c_custkey, 5) WHEN 0 THEN 'Unisex' WHEN 1 THEN 'Male' WHEN 2 THEN 'Female'
+                                   WHEN 3 THEN 'Male/Female' END AS Gender""",
+        "CASE WHEN pmod(c_custkey, 8) IN (0, 1) THEN 'True' ELSE 'False' END AS Unisex",
+        "CASE WHEN pmod(c_custkey, 8) = 5 THEN 'TRUE' END AS AllGender",
+        "CASE WHEN pmod(c_custkey, 8) IN (2, 3) THEN 'yes' END AS Male",
+        "CASE WHEN pmod(c_custkey, 8) IN (3, 4) THEN '1' END AS Female",
     )
 
 
