@@ -214,8 +214,14 @@ def q_feature_ablation(spark, sf_dir):
     sets = [CELL_X] + [[c for c in CELL_X if c != f] for f in CELL_X]
     with ThreadPoolExecutor(max_workers=4) as pool:
         scores = list(pool.map(r2, sets))
-    base = scores[0]
-    rows = [("(none)", float(base), 0.0)]
-    rows += [(f, float(v), float(base - v)) for f, v in zip(CELL_X, scores[1:])]
+    # R² is undefined (NULL) when the test labels are constant
+    def num(x):
+        return None if x is None else float(x)
+
+    base = num(scores[0])
+    rows = [("(none)", base, 0.0 if base is not None else None)]
+    for f, v in zip(CELL_X, scores[1:]):
+        v = num(v)
+        rows.append((f, v, None if base is None or v is None else base - v))
     out = spark.createDataFrame(rows, "dropped_feature string, r2 double, r2_drop double")
     return rounded(out)
