@@ -10,6 +10,10 @@ result is the same whether or not an executor or the driver died mid-way.
 Each record carries the number of the load it came from; the merge keeps the
 row from the highest load per key, so files arriving out of order do not let
 an older load overwrite a newer one.
+
+Each micro-batch publishes a full table version, so micro-batches should be
+as large as the cluster handles: ``files_per_trigger`` is a memory bound, not
+a default (unset, a run takes everything landed since the last run).
 """
 
 from __future__ import annotations

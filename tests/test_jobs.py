@@ -33,3 +33,16 @@ def test_feature_jobs_stamp_is_one_value(spark, tmp_path):
     assert rep["ml_features"] == cells.count() and cells.select("created_at").distinct().count() == 1
     rep2 = jobs.facility_features_job(spark, raw, str(tmp_path / "o"), jdbc=derby)
     assert rep2["ml_accessible_features"] > 0 and not rep2["failed_sinks"]
+
+
+def test_write_all_required_sink_raises(spark, tmp_path):
+    df = spark.range(3)
+
+    def broken(_):
+        raise RuntimeError("sink down")
+
+    ok_path = str(tmp_path / "ok")
+    res = io.write_all(df, {"main": lambda d: io.write_parquet(d, ok_path), "side": broken}, required=["main"])
+    assert res == {"rows": 3, "failed": ["side"]}
+    with pytest.raises(RuntimeError):
+        io.write_all(df, {"main": broken}, required=["main"])
