@@ -32,11 +32,11 @@ def regression_metrics(df: DataFrame, label: str, pred: str, with_median: bool =
         F.when(sst == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0) - sse / sst).alias("r2"),
     )
     if with_median:
-        med = exact_quantiles(df.select(F.abs(e).alias("abs_err")), "abs_err", [0.5]).select(
-            F.col("quantile").alias("median_ae")
+        # an aggregate always yields one row (NULL median on empty input)
+        med = exact_quantiles(df.select(F.abs(e).alias("abs_err")), "abs_err", [0.5]).agg(
+            F.max("quantile").alias("median_ae")
         )
-        # one row each side
-        out = out.crossJoin(F.broadcast(med))
+        out = out.crossJoin(F.broadcast(med))  # one row each side
     return out
 
 

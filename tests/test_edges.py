@@ -171,3 +171,11 @@ def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     got = [r[0] for r in normalize.nulls_for_nans(df, ["x"]).collect()]
     assert got[0] is None and got[1] == 1.0 and not math.isnan(got[1])
+
+
+def test_metrics_on_empty_input_give_one_row(spark):
+    empty = spark.createDataFrame([], "actual double, predicted double")
+    r = metrics.regression_metrics(empty, "actual", "predicted").collect()
+    assert len(r) == 1 and r[0]["n"] == 0 and r[0]["median_ae"] is None
+    e2 = spark.createDataFrame([], "label int, proba double")
+    assert metrics.auc_scores(e2, "label", "proba").first()["roc_auc"] == 0.0
