@@ -179,3 +179,15 @@ def test_metrics_on_empty_input_give_one_row(spark):
     assert len(r) == 1 and r[0]["n"] == 0 and r[0]["median_ae"] is None
     e2 = spark.createDataFrame([], "label int, proba double")
     assert metrics.auc_scores(e2, "label", "proba").first()["roc_auc"] == 0.0
+
+
+def test_pretty_printed_page_files(spark, tmp_path):
+    import json
+
+    from pyspark.sql import types as T
+
+    for i, recs in enumerate([[{"_id": "1", "Name": "a"}, {"_id": "2", "Name": "b"}], [{"_id": "3"}], []]):
+        (tmp_path / f"page{i}.json").write_text(json.dumps({"result": {"records": recs}}, indent=2))
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("Name", T.StringType())])
+    got = sorted(map(tuple, io.read_pages(spark, str(tmp_path), schema, multi_line=True).collect()))
+    assert got == [("1", "a"), ("2", "b"), ("3", None)]
