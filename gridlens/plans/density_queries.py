@@ -139,3 +139,23 @@ z AS (SELECT lat_bin, lon_bin, toilet_count,
 def q_facility_hotspots(spark, sf_dir):
     df = density.density_features(clean.clean(facilities(spark, sf_dir), "density"))
     return rounded(density.hotspots(density.grid_zscore(density.grid_counts(df))))
+
+
+@register(
+    "facility_hotspots_top10",
+    with_ctes(["fac_density"], """
+SELECT lat_bin, lon_bin, toilet_count, RND(z_score) AS z_score FROM z WHERE z_score > 2
+ORDER BY toilet_count DESC, lat_bin, lon_bin LIMIT 10
+""", more="""
+c AS (SELECT CAST(floor("Latitude" / 1e-2) AS BIGINT) AS lat_bin,
+             CAST(floor("Longitude" / 1e-2) AS BIGINT) AS lon_bin, count(*) AS toilet_count
+      FROM fac_density GROUP BY 1, 2),
+s AS (SELECT COALESCE(avg(toilet_count), 0e0) AS mean, COALESCE(stddev_samp(toilet_count), 1e0) AS std FROM c),
+z AS (SELECT lat_bin, lon_bin, toilet_count,
+             CASE WHEN std = 0 THEN NULL ELSE (toilet_count - mean) / std END AS z_score FROM c CROSS JOIN s)
+"""),
+)
+def q_facility_hotspots_top10(spark, sf_dir):
+    df = density.density_features(clean.clean(facilities(spark, sf_dir), "density"))
+    hot = density.hotspots(density.grid_zscore(density.grid_counts(df)))
+    return rounded(density.top_cells(hot, 10))
