@@ -14,8 +14,8 @@ partial aggregates; Spark reuses that exchange for the three consumers.  The
 dominant-suburb rank runs over the pre-aggregated (cell, suburb) rows, never
 over raw rows, so a cell holding a third of the table is one row per suburb.
 
-The table-wide centre is a one-row aggregate joined with an explicit
-broadcast (one row: bounded by construction); no driver round trip.
+The table-wide centre is a one-row aggregate used as a scalar subquery
+(computed once, no join, no driver round trip).
 Joins against aggregated dimensions are left unhinted: AQE turns them into
 broadcast joins when the runtime size is under the threshold and otherwise
 keeps a sort-merge join whose skewed partitions it splits.
@@ -74,13 +74,10 @@ def center_point(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude") -
 
 def with_distance(df: DataFrame, center: DataFrame | None = None) -> DataFrame:
     center = center if center is not None else center_point(df)
-    return (
-        df.crossJoin(F.broadcast(center))
-        .withColumn(
-            "distance_to_center",
-            planar_distance(F.col("Latitude"), F.col("Longitude"), F.col("center_lat"), F.col("center_lon")),
-        )
-        .drop("center_lat", "center_lon")
+    c = center.select(F.struct("center_lat", "center_lon")).scalar()  # one row, computed once
+    return df.withColumn(
+        "distance_to_center",
+        planar_distance(F.col("Latitude"), F.col("Longitude"), c.getField("center_lat"), c.getField("center_lon")),
     )
 
 

@@ -5,9 +5,8 @@ Scale notes
   row per cell it saw, so a cell holding a third of all rows costs nothing
   extra in the shuffle.
 * The table-wide mean / std are a one-row aggregate over the (already small)
-  cell table joined back with an explicit broadcast: exactly one row, so the
-  broadcast size is bounded by construction, and nothing goes through the
-  driver (the source job collected it and re-planned).
+  cell table used as a scalar subquery: computed once, no join and no driver
+  round trip (the source job collected it and re-planned).
 * ``try_divide`` keeps the std = 0 case (all cells equal) a NULL z-score
   instead of an ANSI division error; such cells are neither hot nor sparse.
 """
@@ -48,10 +47,11 @@ def global_mean_std(counts: DataFrame, count_col: str = "toilet_count") -> DataF
 
 
 def grid_zscore(counts: DataFrame, count_col: str = "toilet_count") -> DataFrame:
-    stats = global_mean_std(counts, count_col)
-    return counts.crossJoin(F.broadcast(stats)).select(
+    # mean and std as one scalar subquery: computed once, no join
+    stats = global_mean_std(counts, count_col).select(F.struct("mean", "std")).scalar()
+    return counts.select(
         *[F.col(c) for c in counts.columns],
-        F.try_divide(F.col(count_col) - F.col("mean"), F.col("std")).alias("z_score"),
+        F.try_divide(F.col(count_col) - stats.getField("mean"), stats.getField("std")).alias("z_score"),
     )
 
 

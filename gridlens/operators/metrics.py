@@ -34,9 +34,9 @@ def regression_metrics(df: DataFrame, label: str, pred: str, with_median: bool =
     if with_median:
         # an aggregate always yields one row (NULL median on empty input)
         med = exact_quantiles(df.select(F.abs(e).alias("abs_err")), "abs_err", [0.5]).agg(
-            F.max("quantile").alias("median_ae")
-        )
-        out = out.crossJoin(F.broadcast(med))  # one row each side
+            F.max("quantile")
+        ).scalar()
+        out = out.withColumn("median_ae", med)
     return out
 
 
@@ -93,9 +93,9 @@ def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
     tp, fp, tpr (= recall), fpr, precision, f1."""
     h = score_histogram(df, label, score)
     totals = df.agg(
-        F.sum(F.col(label).cast("long")).alias("P"), F.sum((1 - F.col(label)).cast("long")).alias("N")
-    )
-    h = h.crossJoin(F.broadcast(totals))  # one row
+        F.struct(F.sum(F.col(label).cast("long")).alias("P"), F.sum((1 - F.col(label)).cast("long")).alias("N"))
+    ).scalar()  # one row, computed once
+    h = h.withColumns({"P": totals.getField("P"), "N": totals.getField("N")})
     tp = F.col("P") - (F.col("cum_pos") - F.col("pos"))
     fp = F.col("N") - (F.col("cum_neg") - F.col("neg"))
     h = h.withColumns({"tp": tp, "fp": fp})

@@ -60,15 +60,13 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None
     """(x - mean) / sample std per column, statistics from the ``fit_on`` rows
     only (train), applied to all rows; a constant column scales to 0."""
     src = df.filter(fit_on) if fit_on is not None else df
-    stats = src.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(stats))  # one row
-    scaled = {
-        c: F.when(F.col(f"_s_{c}").isNull() | (F.col(f"_s_{c}") == 0), F.lit(0.0)).otherwise(
-            (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")
-        )
-        for c in cols
-    }
-    return out.withColumns(scaled).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+    stats = src.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                             *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])).scalar()  # one row, once
+    scaled = {}
+    for c in cols:
+        m, s = stats.getField(f"m_{c}"), stats.getField(f"s_{c}")
+        scaled[c] = F.when(s.isNull() | (s == 0), F.lit(0.0)).otherwise((F.col(c) - m) / s)
+    return df.withColumns(scaled)
 
 
 def geo_cell_feature(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude", size: float | None = None,

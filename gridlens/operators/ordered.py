@@ -73,8 +73,8 @@ def prefix_sums(
     if group_cols:
         b = F.broadcast(bounds) if small_groups else bounds
         with_b = df.join(b, group_cols)
-    else:
-        with_b = df.crossJoin(F.broadcast(bounds))
+    else:  # one row: a scalar subquery, no join
+        with_b = df.withColumn("_bounds", bounds.select("_bounds").scalar())
     ocol = F.col(order_col)
     with_b = with_b.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < ocol))).drop("_bounds")
 
@@ -130,7 +130,10 @@ def exact_quantiles(
     )
     # bounds / totals / targets have one row per group (x ranges, x probs):
     # groups here are feature names or classes, a fixed small set
-    with_b = (hist.join(F.broadcast(bounds), group_cols) if group_cols else hist.crossJoin(F.broadcast(bounds)))
+    if group_cols:
+        with_b = hist.join(F.broadcast(bounds), group_cols)
+    else:  # one row: a scalar subquery, no join
+        with_b = hist.withColumn("_bounds", bounds.select("_bounds").scalar())
     with_b = with_b.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")
 
     totals = with_b.groupBy(*group_cols, "_bucket").agg(F.sum("_n").alias("_t"))

@@ -76,9 +76,9 @@ def data_fingerprint(df: DataFrame, exclude: Sequence[str] = ("created_at",)) ->
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per class with share and the number of distinct classes."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("n_classes"))
-    return counts.crossJoin(F.broadcast(totals)).select(
-        label, "n", (F.col("n") / F.col("_total")).alias("share"), "n_classes"
+    totals = counts.agg(F.struct(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))).scalar()
+    return counts.select(
+        label, "n", (F.col("n") / totals.getField("total")).alias("share"), totals.getField("k").alias("n_classes")
     )
 
 
@@ -107,13 +107,12 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram between min and max, last bin closed; all bins
     are listed, empty ones with 0 (like numpy.histogram)."""
     stats = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    idx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(col) - F.col("_lo")) / width), F.lit(bins - 1))
-    )
+    st = stats.select(F.struct("_lo", "_hi")).scalar()  # one row, computed once
+    lo, hi = st.getField("_lo"), st.getField("_hi")
+    width = (hi - lo) / F.lit(float(bins))
+    idx = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1)))
     counts = (
         df.select(col).filter(F.col(col).isNotNull())
-        .crossJoin(F.broadcast(stats))  # one row
         .groupBy(idx.cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -135,11 +134,11 @@ def actual_vs_predicted(df: DataFrame, actual: str, predicted: str) -> DataFrame
     pairs = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    rng = df.agg(
-        F.least(F.min(actual), F.min(predicted)).alias("diag_min"),
-        F.greatest(F.max(actual), F.max(predicted)).alias("diag_max"),
-    )
-    return pairs.crossJoin(F.broadcast(rng))
+    rng = df.agg(F.struct(
+        F.least(F.min(actual), F.min(predicted)).alias("lo"),
+        F.greatest(F.max(actual), F.max(predicted)).alias("hi"),
+    )).scalar()  # one row, computed once
+    return pairs.withColumns({"diag_min": rng.getField("lo"), "diag_max": rng.getField("hi")})
 
 
 def latest(df: DataFrame, order_col: str, filter_col: Column | None = None) -> DataFrame:

@@ -72,8 +72,6 @@ def stratified_split(df: DataFrame, keys: Sequence[str], label: str, test_fracti
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weights n / (k * n_c), attached to every row."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    totals = counts.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = counts.crossJoin(F.broadcast(totals)).select(
-        label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(out)
-    )
+    totals = counts.agg(F.struct(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    w = counts.select(label, (totals.getField("n") / (totals.getField("k") * F.col("_nc"))).alias(out))
     return df.join(w, label, "left")

@@ -88,7 +88,8 @@ def _classifier_report(model, data):
     pred = metrics.with_threshold(pred, "proba", 0.5, "predicted")
     cls = metrics.classification_metrics(pred, FAC_Y, "predicted")
     auc = metrics.auc_scores(pred, FAC_Y, "proba")
-    return rounded(cls.crossJoin(auc))
+    a = auc.select(F.struct(*auc.columns)).scalar()  # one row each side
+    return rounded(cls.withColumns({c: a.getField(c) for c in auc.columns}))
 
 
 @register("gbt_regression_metrics")
