@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.columns import clip_round_count
 from gridlens.operators.ordered import exact_quantiles, prefix_sums
+from gridlens.session import materialize
 
 
 def _safe_div(a, b, default=0.0):
@@ -85,16 +86,17 @@ def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
-    return prefix_sums(h, "score", ["pos", "neg"], distinct_order=True)
+    # the distinct-score table is read by the cut points, the range totals,
+    # the running sums and the class totals: compute it once
+    return prefix_sums(materialize(h), "score", ["pos", "neg"], distinct_order=True)
 
 
 def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """One row per distinct score used as threshold (predict 1 when score >= t):
     tp, fp, tpr (= recall), fpr, precision, f1."""
     h = score_histogram(df, label, score)
-    totals = df.agg(
-        F.struct(F.sum(F.col(label).cast("long")).alias("P"), F.sum((1 - F.col(label)).cast("long")).alias("N"))
-    ).scalar()  # one row, computed once
+    # class totals from the (materialised) histogram, not another pass over df
+    totals = h.agg(F.struct(F.sum("pos").alias("P"), F.sum("neg").alias("N"))).scalar()
     h = h.withColumns({"P": totals.getField("P"), "N": totals.getField("N")})
     tp = F.col("P") - (F.col("cum_pos") - F.col("pos"))
     fp = F.col("N") - (F.col("cum_neg") - F.col("neg"))

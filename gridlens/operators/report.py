@@ -106,6 +106,8 @@ def top_by(df: DataFrame, col: str, n: int, keys: Sequence[str], descending: boo
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram between min and max, last bin closed; all bins
     are listed, empty ones with 0 (like numpy.histogram)."""
+    # read three times (range, counts, edges): cut the lineage to the one column
+    df = materialize(df.select(col))
     stats = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
     st = stats.select(F.struct("_lo", "_hi")).scalar()  # one row, computed once
     lo, hi = st.getField("_lo"), st.getField("_hi")
@@ -131,6 +133,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
 def actual_vs_predicted(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Distinct (actual, predicted) pairs with counts, plus the diagonal's
     min and max over both columns."""
+    df = materialize(df.select(actual, predicted))  # read by the pairs and the range
     pairs = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
