@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from gridlens.llm import exact_dedup, quality, sharding, simhash
+from gridlens.llm import decontam, exact_dedup, quality, sharding, simhash
 from gridlens.llm.common import documents
 
 QUERIES = {
     "op2_quality": lambda spark, d: quality.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/labels.parquet")),
+    "op3_decontamination": lambda spark, d: decontam.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")),
     "op4_simhash_near_dedup": lambda spark, d: simhash.query(documents(spark, d)),
     "op5_exact_dedup": lambda spark, d: exact_dedup.query(documents(spark, d)),
     "op9_uniform_shards": lambda spark, d: sharding.query(documents(spark, d)),
