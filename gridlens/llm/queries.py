@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridlens.llm import decontam, exact_dedup, quality, sharding, simhash
+from gridlens.llm import decontam, exact_dedup, quality, sharding, simhash, sp_codec, token_fst
 from gridlens.llm.common import documents
 
 QUERIES = {
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_decontamination": lambda spark, d: decontam.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")),
     "op4_simhash_near_dedup": lambda spark, d: simhash.query(documents(spark, d)),
     "op5_exact_dedup": lambda spark, d: exact_dedup.query(documents(spark, d)),
+    "op8_token_counts": lambda spark, d: token_fst.query(documents(spark, d)),
     "op9_uniform_shards": lambda spark, d: sharding.query(documents(spark, d)),
+    "op10_sentencepiece": lambda spark, d: sp_codec.query(documents(spark, d)),
 }
 
 ORACLE_SQL = {
