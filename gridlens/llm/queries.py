@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gridlens.llm import decontam, exact_dedup, quality, sharding, simhash, sp_codec, token_fst
+from gridlens.llm import decontam, exact_dedup, quality, sharding, simhash, sp_codec, suffix_dedup, token_fst
 from gridlens.llm.common import documents
 
 QUERIES = {
+    "op1_suffix_dedup": lambda spark, d: suffix_dedup.query(documents(spark, d)),
     "op2_quality": lambda spark, d: quality.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/labels.parquet")),
     "op3_decontamination": lambda spark, d: decontam.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")),
     "op4_simhash_near_dedup": lambda spark, d: simhash.query(documents(spark, d)),
