@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from gridlens.llm.common import prepare, stored, text_or_empty
 
 # Edits allowed, as a share of the item's length.
-ERROR_RATE = 0.08
+ERROR_RATE = 0.1
 # Shorter items say nothing about where a text is from and are not searched for.
 MIN_CHARS = 20
 # Characters of items that are broadcast at once; more items take more passes.
