@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridlens.llm import decontam, exact_dedup, mlm, quality, sharding, simhash, sp_codec, suffix_dedup, token_fst
+from gridlens.llm import decontam, exact_dedup, licenses, mlm, quality, sharding, simhash, sp_codec, suffix_dedup, token_fst
 from gridlens.llm.common import documents
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_decontamination": lambda spark, d: decontam.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")),
     "op4_simhash_near_dedup": lambda spark, d: simhash.query(documents(spark, d)),
     "op5_exact_dedup": lambda spark, d: exact_dedup.query(documents(spark, d)),
+    "op6_license_scan": lambda spark, d: licenses.query(documents(spark, d)),
     "op7_pseudo_likelihood": lambda spark, d: mlm.query(documents(spark, d)),
     "op8_token_counts": lambda spark, d: token_fst.query(documents(spark, d)),
     "op9_uniform_shards": lambda spark, d: sharding.query(documents(spark, d)),
