@@ -94,7 +94,8 @@ def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, id_col: str = "doc
     for t in texts[1:]:
         every = every.unionByName(t)
     # byte check: each positive digest and the distinct texts under it
-    checked = every.withColumn("sha", F.sha2("text", 256)).join(positive, "sha", "left_semi").groupBy("sha", "text").count()
+    # (by hash at any size: the texts are dealt out alike whether or not the digests would fit a broadcast)
+    checked = every.withColumn("sha", F.sha2("text", 256)).join(positive.hint("shuffle_hash"), "sha", "left_semi").groupBy("sha", "text").count()
     bad = stored(checked.groupBy("sha").agg(F.count("*").alias("texts")).where("texts > 1").select("sha"), "collisions")
     if bad.limit(1).count():
         raise ValueError("different texts share a SHA-256 digest")
