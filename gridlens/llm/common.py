@@ -99,6 +99,7 @@ def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col
         .distinct()
         .join(times, F.col("_kid").eqNullSafe(F.col("_id")) & (F.col("_ksha") == F.col("_sha")))
         .select("_kid", "_ksha", "_n")
+        .hint("shuffle_hash")  # the rows are dealt out alike at any size
     )
     hit = marked.join(k, F.col("_kid").eqNullSafe(F.col("_id")) & (F.col("_ksha") == F.col("_sha")))
     once = hit.where("_n = 1").select(*names)

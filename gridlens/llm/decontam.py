@@ -203,4 +203,4 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     names = [f"_c{i}" for i in range(len(cols))]
     marked = docs.toDF(*names).withColumn("_sha", F.sha2(text_or_empty(names[cols.index("text")]), 256))
     same = F.col(names[cols.index("doc_id")]).eqNullSafe(F.col("_hid")) & (F.col("_sha") == F.col("_hsha"))
-    return marked.join(hits, same, "left_anti").select(*names).toDF(*cols)
+    return marked.join(hits.hint("shuffle_hash"), same, "left_anti").select(*names).toDF(*cols)

@@ -215,8 +215,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stored(anchors.join(keys.select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "key"), "candidates")
 
     same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("t") == F.col("_t")]
+    # texts are dealt out by hash at any size, never by a broadcast of what grows with them
     ids = found.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
-    texts = stored(src.join(ids, same, "left_semi"), "texts")
+    texts = stored(src.join(ids.hint("shuffle_hash"), same, "left_semi"), "texts")
 
     each = found.groupBy("key", "ctx", "windows", "mixed").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "first")).alias("at")
@@ -227,7 +228,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cut = F.transform("cs", lambda c: F.struct(
         c["key"].alias("key"), c["ctx"].alias("ctx"), c["windows"].alias("windows"),
         F.substring(F.col("data"), (c["first"] + 1).cast("int"), c["windows"] + LENGTH - 1).alias("data")))
-    fetched = texts.join(per_text, same).select(F.explode(cut).alias("c")).select("c.*").dropDuplicates(["key", "ctx"])
+    fetched = texts.join(per_text.hint("shuffle_hash"), same).select(F.explode(cut).alias("c")).select("c.*").dropDuplicates(["key", "ctx"])
     busy = each.where("mixed").groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > HOT_CONTEXTS).select("key")
     fetched = stored(fetched, "fetched")
     marked = _shards(fetched.join(busy, "key", "left_anti")).unionByName(_by_digest(fetched.join(busy, "key", "left_semi")))
@@ -258,7 +259,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("t") == F.col("_t")]
     covered = per_text.select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "covered")
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    changed = texts.dropDuplicates(["doc_id", "t"]).join(covered, same).select("doc_id", "t", "data", "covered")
+    changed = texts.dropDuplicates(["doc_id", "t"]).join(covered.hint("shuffle_hash"), same).select("doc_id", "t", "data", "covered")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
