@@ -7,6 +7,8 @@ so they run inside whole-stage codegen; none of them touches Python per row.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,11 @@ FLAG_TRUE = ["true", "yes", "1"]
 ACCESSIBLE_STRICT = ["Yes", "yes", "YES", "True", "true"]
 # Accessible / changing-place values in the feature jobs (adds "TRUE").
 ACCESSIBLE_WIDE = ["Yes", "yes", "YES", "TRUE", "true", "True"]
+# Gender text by the raw flag columns that say yes, in this order.
+GENDER_RULES = [
+    ("Unisex", ["Unisex"]), ("AllGender", ["AllGender"]), ("Male/Female", ["Male", "Female"]),
+    ("Male", ["Male"]), ("Female", ["Female"]),
+]
 # Gender class by case-sensitive substring, first hit wins, else "unknown".
 GENDER_CLASSES = [("Unisex", "unisex"), ("Male", "male"), ("Female", "female")]
 GENDER_UNKNOWN = "unknown"
@@ -36,7 +43,7 @@ FALLBACK_CENTER = (-31.95, 115.85)
 METRES_PER_DEGREE = 111000.0
 
 
-def col_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
+def optional_column(df: DataFrame, name: str, dtype: str = "string") -> Column:
     """The column if the frame has it, else a typed NULL literal."""
     return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast(dtype)
 
@@ -49,25 +56,19 @@ def first_existing(df: DataFrame, names: Sequence[str]) -> str | None:
     return None
 
 
-def is_true(c: Column, truthy: Iterable[str] = FLAG_TRUE) -> Column:
-    """``lower(text) in truthy``; NULL stays NULL (falsy in a ``when``)."""
+def says_yes(c: Column, truthy: Iterable[str] = FLAG_TRUE) -> Column:
+    """Whether the text, in lower case, is one of ``truthy``; NULL for NULL."""
     return F.lower(c.cast("string")).isin(list(truthy))
 
 
 def gender_from_flags(df: DataFrame) -> Column:
-    """Gender text from the boolean-ish flag columns, first hit wins."""
-    unisex = is_true(col_or_null(df, "Unisex"))
-    allg = is_true(col_or_null(df, "AllGender"))
-    male = is_true(col_or_null(df, "Male"))
-    female = is_true(col_or_null(df, "Female"))
-    return (
-        F.when(unisex, F.lit("Unisex"))
-        .when(allg, F.lit("AllGender"))
-        .when(male & female, F.lit("Male/Female"))
-        .when(male, F.lit("Male"))
-        .when(female, F.lit("Female"))
-        .otherwise(F.lit(None).cast("string"))
-    )
+    """The first of ``GENDER_RULES`` whose flag columns the frame has and all say yes; else NULL."""
+    hits = []
+    for label, flags in GENDER_RULES:
+        if set(flags) <= set(df.columns):
+            holds = reduce(and_, [says_yes(F.col(f"`{f}`")) for f in flags])
+            hits.append(F.when(holds, F.lit(label)))
+    return F.coalesce(*hits, F.lit(None).cast("string"))
 
 
 def flag_in(c: Column, values: Sequence[str]) -> Column:
@@ -121,16 +122,28 @@ def nan_to_null(c: Column) -> Column:
 
 
 def clip_round_count(c: Column) -> Column:
-    """Round half to even, clip at 0, int."""
-    return F.greatest(F.lit(0.0), F.rint(c)).cast("int")
+    """Round half to even, clip at 0, bigint (as wide as any count)."""
+    return F.greatest(F.lit(0.0), F.rint(c)).cast("bigint")
+
+
+# Bits of ``stable_hash``.
+HASH_BITS = 60
+
+
+def field_text(c: Column) -> Column:
+    """A value's text with its length before it, or a mark that no text gives for NULL,
+    so that fields joined one after the other cannot be read in two ways."""
+    text = c.cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
 def stable_hash(seed, *cols: Column | str) -> Column:
-    """A 60-bit non-negative hash of ``seed:col1:col2...`` from md5.
+    """A 60-bit non-negative hash of the seed and the columns from md5.
 
     Independent of partitioning and row order, and reproducible in any SQL
-    engine with md5 (first 15 hex digits as an integer).
+    engine with md5 (first 15 hex digits as an integer).  NULL is a value of
+    its own in every place.
     """
-    parts = [F.lit(str(seed))] + [F.col(c) if isinstance(c, str) else c for c in cols]
-    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    fields = [field_text(F.col(c) if isinstance(c, str) else c) for c in cols]
+    text = F.concat(F.lit(f"{seed}|"), *fields)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

@@ -3,7 +3,7 @@ confusion matrix, ROC / PR curves, best-F1 threshold.
 
 Every metric is one aggregate (partial + final, map-side combined) over the
 scored rows; the order-dependent ones (AUC, curves, thresholds, median) use
-the bucketed exact prefix sums of ``ordered`` over the *distinct scores*, so
+the exact prefix sums of ``ordered`` over ranges of the *distinct scores*, so
 no step puts all rows, or all distinct scores, into one task.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.columns import clip_round_count
 from gridlens.operators.ordered import exact_quantiles, prefix_sums
-from gridlens.session import materialize
 
 
 def _safe_div(a, b, default=0.0):
@@ -22,7 +21,9 @@ def _safe_div(a, b, default=0.0):
 
 
 def regression_metrics(df: DataFrame, label: str, pred: str, with_median: bool = True) -> DataFrame:
-    """One row: n, rmse, mae, r2 (1 - SSE / SST), and the median absolute error."""
+    """One row: n, rmse, mae, r2 (1 - SSE / SST), and the median absolute error,
+    over the rows that have both a label and a prediction."""
+    df = df.filter(F.col(label).isNotNull() & F.col(pred).isNotNull())
     e = F.col(pred) - F.col(label)
     sse = F.sum(e * e)
     sst = F.var_pop(label) * F.count(F.lit(1))
@@ -56,7 +57,8 @@ def _confusion_counts(df: DataFrame, label: str, predicted: str):
 
 
 def classification_metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
-    """Accuracy, precision / recall / F1 of class 1 (0 when undefined), n."""
+    """Accuracy, precision / recall / F1 of class 1 (0 when undefined), n, over
+    the rows that have both a label and a prediction."""
     c = df.agg(*_confusion_counts(df, label, predicted))
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     n = tp + fp + fn + tn
@@ -81,14 +83,15 @@ def confusion_matrix(spark: SparkSession, df: DataFrame, label: str, predicted:
 
 
 def score_histogram(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(score, pos, neg) per distinct score, with running totals below-or-equal."""
+    """(score, pos, neg) per distinct score, with running totals below-or-equal.
+    Rows without a label or a score (NULL, NaN) cannot be ranked and do not count."""
+    s = F.col(score).cast("double")
+    df = df.filter(F.col(label).isNotNull() & s.isNotNull() & ~F.isnan(s))
     h = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
-    # the distinct-score table is read by the cut points, the range totals,
-    # the running sums and the class totals: compute it once
-    return prefix_sums(materialize(h), "score", ["pos", "neg"], distinct_order=True)
+    return prefix_sums(h, "score", ["pos", "neg"], distinct_order=True)
 
 
 def curve_points(df: DataFrame, label: str, score: str) -> DataFrame:

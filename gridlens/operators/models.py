@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.functions.columns import grid_bin
-from gridlens.operators.ordered import prefix_sums
+from gridlens.operators.ordered import join_null_safe, prefix_sums
 
 # Default hyper-parameters of the two boosted-tree models.
 GBT_REGRESSION_DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1,
@@ -57,11 +57,11 @@ def _gbt_args(p: dict) -> dict:
 
 
 def standardize(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None) -> DataFrame:
-    """(x - mean) / sample std per column, statistics from the ``fit_on`` rows
+    """(x - mean) / population std per column, statistics from the ``fit_on`` rows
     only (train), applied to all rows; a constant column scales to 0."""
     src = df.filter(fit_on) if fit_on is not None else df
     stats = src.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                             *[F.stddev_samp(c).alias(f"s_{c}") for c in cols])).scalar()  # one row, once
+                             *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])).scalar()  # one row, once
     scaled = {}
     for c in cols:
         m, s = stats.getField(f"m_{c}"), stats.getField(f"s_{c}")
@@ -72,40 +72,26 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: Column | None = None
 def geo_cell_feature(df: DataFrame, lat: str = "Latitude", lon: str = "Longitude", size: float | None = None,
                      out: str = "cell_index") -> DataFrame:
     """``grid_cell`` = "<lat_bin>_<lon_bin>" (cell size parameter) indexed as a
-    categorical feature (most frequent cell first; unseen cells -> extra index)."""
+    categorical feature (most frequent cell first, ties by the text)."""
     if size is None:
         cell = F.concat_ws("_", F.col("lat_bin").cast("string"), F.col("lon_bin").cast("string"))
     else:
         cell = F.concat_ws("_", grid_bin(F.col(lat), size).cast("string"), grid_bin(F.col(lon), size).cast("string"))
-    with_cell = df.withColumn("grid_cell", cell)
-    indexer = StringIndexer(inputCol="grid_cell", outputCol=out, handleInvalid="keep",
-                            stringOrderType="frequencyDesc")
-    return indexer.fit(with_cell).transform(with_cell)
+    return frequency_index(df.withColumn("grid_cell", cell), ["grid_cell"], out)
 
 
 def frequency_index(df: DataFrame, keys: Sequence[str] = ("lat_bin", "lon_bin"), out: str = "cell_index") -> DataFrame:
-    """Dense 0-based index of each distinct (integer) key pair, most frequent
-    first, ties by the keys ascending — a categorical encoding computed
-    entirely on the executors (no label list on the driver, unlike a fitted
-    ``StringIndexer``), so it scales with the number of distinct cells.
-
-    index = #cells with a higher count + #cells with the same count and
-    smaller keys; both terms are exact bucketed prefix sums.  The key pair is
-    packed into one order-preserving long (each bin within +-2^31)."""
-    k1, k2 = keys
-    counts = df.groupBy(k1, k2).agg(F.count(F.lit(1)).alias("_n"))
-    per_n = counts.groupBy("_n").agg(F.count(F.lit(1)).alias("_m")).withColumn("_neg_n", -F.col("_n"))
-    higher = prefix_sums(per_n, "_neg_n", ["_m"], distinct_order=True)  # cells with count >= n
-    higher = higher.select("_n", (F.col("cum__m") - F.col("_m")).alias("_above"))
-    packed = counts.withColumns({
-        "_pack": F.shiftleft(F.col(k1).cast("long"), 32) + (F.col(k2).cast("long") + F.lit(2**31)),
-        "_one": F.lit(1),
-    })
-    within = prefix_sums(packed, "_pack", ["_one"], ["_n"], distinct_order=True, small_groups=False)
-    index = within.join(higher, "_n").select(
-        k1, k2, (F.col("_above") + F.col("cum__one") - 1).cast("double").alias(out)
-    )
-    return df.join(index, [k1, k2], "left")
+    """Dense 0-based index of each distinct key, most frequent first, ties by
+    the keys ascending — a categorical encoding computed entirely on the
+    executors (no label list on the driver, unlike a fitted ``StringIndexer``).
+
+    The index is the rank in the order (count descending, keys), an exact
+    prefix sum over ranges of that order; one count held by most keys is
+    split like any other range."""
+    counts = df.groupBy(*keys).agg((-F.count(F.lit(1))).alias("_less"), F.lit(1).alias("_one"))
+    ranked = prefix_sums(counts, ["_less", *keys], ["_one"], distinct_order=True)
+    index = ranked.select(*keys, (F.col("cum__one") - 1).cast("double").alias(out))
+    return join_null_safe(df, index, list(keys), "left")
 
 
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:

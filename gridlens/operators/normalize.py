@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.columns import (
     clean_number,
-    col_or_null,
+    optional_column,
     first_existing,
     gender_from_flags,
     nan_to_null,
@@ -41,20 +41,20 @@ CANONICAL = [
 
 
 def _coalesced(df: DataFrame, names: Sequence[str]):
-    cols = [col_or_null(df, n) for n in names]
+    cols = [optional_column(df, n) for n in names]
     return (cols[0] if len(cols) == 1 else F.coalesce(*cols)).cast("string")
 
 
 def try_cast_double(df: DataFrame, name: str):
     """Text -> double; unparsable text gives NULL, 'NaN' gives NaN."""
-    return col_or_null(df, name).cast("string").try_cast("double")
+    return optional_column(df, name).cast("string").try_cast("double")
 
 
 def normalize_facilities(raw: DataFrame) -> DataFrame:
     out = {c: _coalesced(raw, names) for c, names in ALIASES.items()}
     out["Latitude"] = try_cast_double(raw, "Latitude")
     out["Longitude"] = try_cast_double(raw, "Longitude")
-    out["Gender"] = F.coalesce(col_or_null(raw, "Gender"), gender_from_flags(raw)).cast("string")
+    out["Gender"] = F.coalesce(optional_column(raw, "Gender"), gender_from_flags(raw)).cast("string")
     return raw.select(*[out[c].alias(c) for c in CANONICAL])
 
 

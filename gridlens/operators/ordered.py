@@ -1,177 +1,138 @@
 """Exact order statistics without a global single-task window.
 
 ``prefix_sums`` gives, for every row, the running totals of some columns in
-the order of one column (optionally within groups).  A window without
-``partitionBy`` would do the same in ONE task; here the ordered column is cut
-into ``buckets`` ranges per group by approximate quantiles (one aggregate,
-no driver round trip), each range is summed on its own (a window partitioned
-by (group, range)), and each range gets the exact total of all earlier ranges
-from a small (groups x buckets) table.  The approximate quantiles only decide
-the cut points; the sums are exact.
+the order of other columns (optionally within groups).  A window without
+``partitionBy`` would do the same in ONE task.  Here the rows are exchanged by
+ranges of (groups, order), so every partition holds one consecutive stretch;
+each stretch is summed on its own, and a small table of the totals of the
+stretches (at most partitions + groups rows) gives what lies ahead of it.  The
+exchange samples the data for its range borders; the sums are exact.
 
 Everything that needs a global order is built on it: rank-sum ROC-AUC, PR and
-ROC curves, the best-F1 threshold, exact quantiles (linear interpolation),
-and the exact-size stratified split.
+ROC curves, the best-F1 threshold, exact quantiles (linear interpolation) and
+the frequency-ordered index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.session import materialize
 
-MIN_BUCKETS = 64
-MAX_BUCKETS = 8192
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys come from the left."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond: Column | None = None
+    for k in keys:
+        same = F.col(f"`{k}`").eqNullSafe(F.col(f"`_r_{k}`"))
+        cond = same if cond is None else cond & same
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
-def default_buckets(df: DataFrame) -> int:
-    """Ranges per group: as many as shuffle partitions (which a cluster sizes
-    to the data, ~128 MB each), at least 64, at most 8192 — so one range is
-    about one partition's worth of rows, not a fixed fraction of the table."""
+
+def _stretches(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """The rows exchanged by ranges, with the number of the stretch each lies in.
+
+    Several passes use the numbers, so the frame is cut here: a range exchange
+    that ran again might draw other borders.
+    """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, n))
+    ranged = df.repartitionByRange(n, *[F.col(f"`{c}`") for c in (*group_cols, *order_cols)])
+    return materialize(ranged.withColumn("_part", F.spark_partition_id()))
+
+
+def _ahead(stretches: DataFrame, group_cols: Sequence[str], sum_cols: Sequence[str]) -> DataFrame:
+    """(groups, _part, _t_<c>: total of the stretch, _o_<c>: total of the stretches before it)."""
+    totals = stretches.groupBy(*group_cols, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    before = Window.partitionBy(*group_cols).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({f"_o_{c}": F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)) for c in sum_cols})
 
 
 def prefix_sums(
     df: DataFrame,
-    order_col: str,
+    order_by: str | Sequence[str],
     sum_cols: Sequence[str],
     group_cols: Sequence[str] = (),
-    buckets: int | None = None,
     prefix: str = "cum_",
     distinct_order: bool = False,
-    small_groups: bool = True,
 ) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over rows with ``order_col <= this row's``
-    (same group).  Rows with equal ``order_col`` get the same running total.
+    """Add ``cum_<c>`` = sum of ``c`` over rows at or before this row in the
+    order of ``order_by`` (same group).  Equal rows get the same running total.
 
-    Unless the caller knows ``order_col`` is distinct within each group
+    Unless the caller knows the order to be distinct within each group
     (``distinct_order=True``), rows are first pre-aggregated per (group,
     value) — map-side combined — so a value repeated by a third of all rows
     is one row in the ranges; the totals are joined back afterwards."""
     group_cols = list(group_cols)
+    order_cols = [order_by] if isinstance(order_by, str) else list(order_by)
     if not distinct_order:
-        per_value = df.groupBy(*group_cols, order_col).agg(*[F.sum(c).alias(c) for c in sum_cols])
-        cum = prefix_sums(per_value, order_col, sum_cols, group_cols, buckets, prefix, distinct_order=True,
-                          small_groups=small_groups)
-        cum = cum.select(*group_cols, order_col, *[f"{prefix}{c}" for c in sum_cols])
-        return df.join(cum, [*group_cols, order_col])
-    buckets = buckets or default_buckets(df)
-    probs = [i / buckets for i in range(1, buckets)]
-    # sketch accuracy well above the bucket count keeps the ranges even
-    accuracy = max(10000, 8 * buckets)
-    bounds = df.groupBy(*group_cols).agg(
-        F.percentile_approx(order_col, probs, accuracy).alias("_bounds")
-    )
-    # One row per group: a bounded broadcast when the groups are a fixed,
-    # small set (classes, feature names); the no-group case is one row.  With
-    # ``small_groups=False`` (groups that grow with the data) the join is left
-    # to AQE, which broadcasts only what turns out small at run time.
-    if group_cols:
-        b = F.broadcast(bounds) if small_groups else bounds
-        with_b = df.join(b, group_cols)
-    else:  # one row: a scalar subquery, no join
-        with_b = df.withColumn("_bounds", bounds.select("_bounds").scalar())
-    ocol = F.col(order_col)
-    with_b = with_b.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < ocol))).drop("_bounds")
-
-    totals = with_b.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *group_cols,
-        "_bucket",
-        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-    )
-    upto = (
-        Window.partitionBy(*group_cols, "_bucket")
-        .orderBy(ocol)
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = with_b.withColumns({f"_l_{c}": F.sum(c).over(upto) for c in sum_cols})
-    # offsets: groups x buckets rows, bounded by the same argument as above
-    off = F.broadcast(offsets) if (small_groups or not group_cols) else offsets
-    out = local.join(off, [*group_cols, "_bucket"])
+        per_value = df.groupBy(*group_cols, *order_cols).agg(*[F.sum(c).alias(c) for c in sum_cols])
+        cum = prefix_sums(per_value, order_cols, sum_cols, group_cols, prefix, distinct_order=True)
+        cum = cum.select(*group_cols, *order_cols, *[f"{prefix}{c}" for c in sum_cols])
+        return join_null_safe(df, cum, [*group_cols, *order_cols])
+    rows = _stretches(df, group_cols, order_cols)
+    ahead = _ahead(rows, group_cols, sum_cols)
+    upto = Window.partitionBy(*group_cols, "_part").orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumns({f"_l_{c}": F.sum(c).over(upto) for c in sum_cols})
+    out = join_null_safe(local, ahead, [*group_cols, "_part"])
     out = out.withColumns({f"{prefix}{c}": F.col(f"_l_{c}") + F.col(f"_o_{c}") for c in sum_cols})
-    return out.drop("_bucket", *[f"_l_{c}" for c in sum_cols], *[f"_o_{c}" for c in sum_cols])
+    return out.select(*df.columns, *[f"{prefix}{c}" for c in sum_cols])
 
 
-def exact_quantiles(
-    df: DataFrame,
-    value_col: str,
-    probs: Sequence[float],
-    group_cols: Sequence[str] = (),
-    buckets: int | None = None,
-    checkpoint: bool = True,
-) -> DataFrame:
+def value_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(groups, _v, _n): each distinct value with its count; NULLs are ignored."""
+    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    return vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (the pandas / numpy default):
     position h = (n - 1) p, value = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
 
-    Plan: distinct values with counts -> value ranges per group (approximate
-    cut points) -> exact row count per range -> the range that holds each
-    wanted rank -> exact ranks inside THAT range only.  Only the few target
-    ranges are sorted, each about one partition's worth of distinct values
-    (a few more small stages than sorting everything, which costs ~0.5 s at
-    a few hundred thousand values and saves sorting the whole table at scale).
-    Returns one row per (group, p): ``group..., p, quantile``.  NULLs are ignored.
-    """
-    group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    hist = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    if checkpoint:
-        # the histogram (distinct values) is read three times below
-        hist = materialize(hist)
-    buckets = buckets or default_buckets(hist)
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = hist.groupBy(*group_cols).agg(
-        F.percentile_approx("_v", cuts, max(10000, 8 * buckets)).alias("_bounds")
+    Returns one row per (group, p): ``group..., p, quantile``.  NULLs are ignored."""
+    return quantiles_of_counts(stretched_counts(df, value_col, group_cols), probs, group_cols)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """The quantiles of a value-count table that lies in stretches: the stretch
+    that holds each wanted rank, then exact ranks inside these stretches only."""
+    keys = list(group_cols)
+    ahead = _ahead(counts, keys, ["_n"]).withColumnsRenamed({"_t__n": "_t", "_o__n": "_o"})
+    sizes = ahead.groupBy(*keys).agg(F.sum("_t").alias("_total"))
+    # rows per group: stretches x probabilities x 2, cut to the stretch that holds the rank
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    ranks = sizes.select(*keys, wanted.alias("p"), "_total").withColumn("_h", (F.col("_total") - 1) * F.col("p"))
+    low_high = F.array(
+        F.struct(F.lit("lo").alias("which"), F.floor("_h").alias("r")),
+        F.struct(F.lit("hi").alias("which"), F.ceil("_h").alias("r")),
     )
-    # bounds / totals / targets have one row per group (x ranges, x probs):
-    # groups here are feature names or classes, a fixed small set
-    if group_cols:
-        with_b = hist.join(F.broadcast(bounds), group_cols)
-    else:  # one row: a scalar subquery, no join
-        with_b = hist.withColumn("_bounds", bounds.select("_bounds").scalar())
-    with_b = with_b.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")
-
-    totals = with_b.groupBy(*group_cols, "_bucket").agg(F.sum("_n").alias("_t"))
-    before = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_o", F.coalesce(F.sum("_t").over(before), F.lit(0)))
-    sizes = totals.groupBy(*group_cols).agg(F.sum("_t").alias("_total"))
-    targets = sizes.select(
-        *group_cols, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "_total"
-    ).withColumn("_h", (F.col("_total") - 1) * F.col("p"))
-    ranks = targets.select(
-        *group_cols, "p", "_h",
-        F.explode(F.array(
-            F.struct(F.lit("lo").alias("which"), F.floor("_h").alias("r")),
-            F.struct(F.lit("hi").alias("which"), F.ceil("_h").alias("r")),
-        )).alias("t"),
-    ).select(*group_cols, "p", "_h", "t.which", "t.r")
-    # the range holding rank r: o <= r < o + t
-    rk = ranks.alias("rk")
-    tt = totals.alias("tt")
-    cond = [F.col(f"rk.{g}") == F.col(f"tt.{g}") for g in group_cols] + [
-        F.col("tt._o") <= F.col("rk.r"), F.col("rk.r") < F.col("tt._o") + F.col("tt._t")]
-    hit = rk.join(F.broadcast(tt), cond).select(
-        *[F.col(f"rk.{g}") for g in group_cols], "rk.p", "rk._h", "rk.which", "rk.r", "tt._bucket", "tt._o"
-    )
-    wanted = hit.select(*group_cols, "_bucket").distinct()
-    inside = with_b.join(F.broadcast(wanted), [*group_cols, "_bucket"], "left_semi")
-    upto = Window.partitionBy(*group_cols, "_bucket").orderBy("_v").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
+    ranks = ranks.select(*keys, "p", "_h", F.explode(low_high).alias("t")).select(*keys, "p", "_h", "t.which", "t.r")
+    # one equality for the join even without groups
+    ranks, spots = ranks.withColumn("_one", F.lit(1)), ahead.withColumn("_one", F.lit(1))
+    hit = join_null_safe(ranks, spots, [*keys, "_one"]).filter(
+        (F.col("_o") <= F.col("r")) & (F.col("r") < F.col("_o") + F.col("_t"))
+    ).select(*keys, "_part", "p", "_h", "which", "r", "_o")
+    inside = join_null_safe(counts, hit.select(*keys, "_part").distinct(), [*keys, "_part"], "left_semi")
+    upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("_c", F.sum("_n").over(upto))
     # value at rank r: the smallest value whose running count passes r
-    val = inside.join(F.broadcast(hit), [*group_cols, "_bucket"]).filter(
-        F.col("_o") + F.col("_c") > F.col("r")
-    ).groupBy(*group_cols, "p", "_h", "which").agg(F.min("_v").alias("_val"))
-    wide = val.groupBy(*group_cols, "p", "_h").agg(
+    val = join_null_safe(inside, hit, [*keys, "_part"]).filter(F.col("_o") + F.col("_c") > F.col("r")).groupBy(
+        *keys, "p", "_h", "which").agg(F.min("_v").alias("_val"))
+    wide = val.groupBy(*keys, "p", "_h").agg(
         F.max(F.when(F.col("which") == "lo", F.col("_val"))).alias("_vlo"),
         F.max(F.when(F.col("which") == "hi", F.col("_val"))).alias("_vhi"),
     )
     frac = F.col("_h") - F.floor("_h")
-    return wide.select(
-        *group_cols, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("quantile")
-    )
+    # equal neighbours need no interpolation (and infinities allow none)
+    between = F.when(F.col("_vlo") == F.col("_vhi"), F.col("_vlo")).otherwise(
+        F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo")))
+    return wide.select(*keys, "p", between.alias("quantile"))
+
+
+def stretched_counts(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """``value_counts`` exchanged by ranges once, for several uses (``_part`` tells the stretch)."""
+    return _stretches(value_counts(df, value_col, group_cols), group_cols, ["_v"])

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlens.operators.ordered import exact_quantiles
+from gridlens.functions.columns import field_text
+from gridlens.operators.ordered import join_null_safe, prefix_sums, quantiles_of_counts, stretched_counts
 from gridlens.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -20,48 +21,47 @@ QUARTILES = [0.25, 0.5, 0.75]
 
 def feature_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """describe(): count, mean, std (sample), min, 25/50/75 % (linear
-    interpolation, exact), max — one row per feature."""
+    interpolation, exact), max — one row per feature.
+
+    The input is read once, into the counts of each feature's distinct values;
+    moments and quantiles both come from that table."""
     present = [c for c in cols if c in df.columns]
-    # several passes follow (moments, bounds, ranks): read the features once
-    df = materialize(df.select(*present))
-    long = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present])
-        ).alias("kv")
-    ).select("kv.feature", "kv.value")
-    basic = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present])
+    long = df.select(F.explode(pairs).alias("kv")).select("kv.feature", "kv.value")
+    counts = stretched_counts(long, "value", ["feature"])
+    basic = counts.groupBy("feature").agg(
+        F.sum("_n").alias("count"),
+        (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
+        F.min("_v").alias("min"),
+        F.max("_v").alias("max"),
     )
-    # the input is already materialised: the histogram is cheap to recompute
-    q = exact_quantiles(long, "value", QUARTILES, ["feature"], checkpoint=False)
-    wide = q.groupBy("feature").pivot("p", QUARTILES).agg(F.first("quantile"))
-    wide = wide.select(
-        "feature", *[F.col(f"`{p}`").alias(f"p{int(p * 100)}") for p in QUARTILES]
+    apart = F.col("_v") - F.col("mean")
+    spread = join_null_safe(counts, basic.select("feature", "mean", "count"), ["feature"]).groupBy("feature").agg(
+        F.sqrt(F.sum(F.col("_n") * apart * apart) / F.nullif(F.first("count") - 1, F.lit(0))).alias("std")
     )
-    return basic.join(wide, "feature", "left").select(
+    q = quantiles_of_counts(counts, QUARTILES, ["feature"])
+    wide = q.groupBy("feature").pivot("p", QUARTILES).agg(F.first("quantile"))
+    wide = wide.select("feature", *[F.col(f"`{p}`").alias(f"p{int(p * 100)}") for p in QUARTILES])
+    return basic.join(spread, "feature").join(wide, "feature").select(
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
 
-def _canonical(c: Column, dtype: T.DataType) -> Column:
-    """Engine-independent text of a value: integers as digits, doubles as
-    integer micro-units, everything else as its string form, NULL as ''."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        v = F.floor(c.cast("double") * F.lit(1e6) + F.lit(0.5)).cast("string")
-    else:
-        v = c.cast("string")
-    return F.coalesce(v, F.lit(""))
+def _exact_text(c: Column, dtype: T.DataType) -> Column:
+    """A text that only equal values share: of a double, its exact binary value."""
+    if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return c.cast("string")
+    d = c.cast("double")
+    return F.when(d.isNotNull(), F.replace(F.format_string("%a", d), F.lit(".0p"), F.lit("p")))
 
 
 def data_fingerprint(df: DataFrame, exclude: Sequence[str] = ("created_at",)) -> DataFrame:
-    """Order- and partition-independent fingerprint: the sum of per-row
-    48-bit md5 prefixes, mod 2^48 (one aggregate, decimal sum: no overflow)."""
+    """Order- and partition-independent fingerprint of exact values: the sum of
+    per-row 48-bit md5 prefixes, mod 2^48 (one aggregate, decimal sum: no
+    overflow).  Fields carry their lengths and NULL has a mark of its own, so
+    no two different rows share a text."""
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
-    row_text = F.concat_ws("|", *[_canonical(F.col(f"`{f.name}`"), f.dataType) for f in fields])
+    row_text = F.concat(*[field_text(_exact_text(F.col(f"`{f.name}`"), f.dataType)) for f in fields])
     h = F.conv(F.substring(F.md5(row_text), 1, 12), 16, 10).cast("decimal(20,0)")
     total = df.agg(F.sum(h).alias("s"), F.count(F.lit(1)).alias("rows"))
     low48 = F.pmod(F.coalesce(F.col("s"), F.lit(0)).cast("decimal(38,0)"), F.lit(2**48).cast("decimal(38,0)"))
@@ -74,8 +74,9 @@ def data_fingerprint(df: DataFrame, exclude: Sequence[str] = ("created_at",)) ->
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class with share and the number of distinct classes."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    """Rows per class with share and the number of distinct classes; rows
+    without a class are not counted."""
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     totals = counts.agg(F.struct(F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))).scalar()
     return counts.select(
         label, "n", (F.col("n") / totals.getField("total")).alias("share"), totals.getField("k").alias("n_classes")
@@ -104,22 +105,24 @@ def top_by(df: DataFrame, col: str, n: int, keys: Sequence[str], descending: boo
 
 
 def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """Equal-width histogram between min and max, last bin closed; all bins
-    are listed, empty ones with 0 (like numpy.histogram)."""
+    """Equal-width histogram between the finite min and max, last bin closed; all
+    bins are listed, empty ones with 0 (like numpy.histogram).  ``n_other``, alike
+    on every row, counts the values without a bin: NULL, NaN and infinities."""
     # read three times (range, counts, edges): cut the lineage to the one column
-    df = materialize(df.select(col))
-    stats = df.agg(F.min(col).cast("double").alias("_lo"), F.max(col).cast("double").alias("_hi"))
+    df = materialize(df.select(F.col(col).cast("double").alias("_v")))
+    finite = F.abs("_v") < F.lit(float("inf"))  # NaN is above every number
+    stats = df.agg(
+        F.min(F.when(finite, F.col("_v"))).alias("_lo"),
+        F.max(F.when(finite, F.col("_v"))).alias("_hi"),
+        F.count_if(F.coalesce(~finite, F.lit(True))).alias("n_other"),
+    )
     st = stats.select(F.struct("_lo", "_hi")).scalar()  # one row, computed once
     lo, hi = st.getField("_lo"), st.getField("_hi")
     width = (hi - lo) / F.lit(float(bins))
-    idx = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1)))
-    counts = (
-        df.select(col).filter(F.col(col).isNotNull())
-        .groupBy(idx.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    idx = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("_v") - lo) / width), F.lit(bins - 1)))
+    counts = df.filter(finite).groupBy(idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     edges = stats.select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi"
+        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "_lo", "_hi", "n_other"
     ).filter(F.col("_lo").isNotNull())
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     return edges.join(counts, "bin", "left").select(
@@ -127,6 +130,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50) -> DataFrame:
         (F.col("_lo") + F.col("bin") * w).alias("bin_start"),
         (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_end"),
         F.coalesce(F.col("n"), F.lit(0)).alias("n"),
+        "n_other",
     )
 
 
@@ -153,10 +157,9 @@ def latest(df: DataFrame, order_col: str, filter_col: Column | None = None) -> D
 
 
 def run_comparison(runs: DataFrame, order_col: str = "trained_at") -> DataFrame:
-    """Runs in start order with a 1-based run index.  The runs table holds one
-    row per training run (not per data row), so one ordered window is fine."""
-    w = Window.orderBy(F.col(order_col), F.col("run_id"))
-    return runs.withColumn("run_index", F.row_number().over(w))
+    """Runs in start order with a 1-based run index, a prefix sum of ones over ranges of the order."""
+    ranked = prefix_sums(runs.withColumn("_one", F.lit(1)), [order_col, "run_id"], ["_one"], distinct_order=True)
+    return ranked.select(*runs.columns, F.col("cum__one").cast("int").alias("run_index"))
 
 
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:

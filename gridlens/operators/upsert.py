@@ -2,9 +2,9 @@
 
 Plain Parquet has no MERGE, so an upsert is a pure function
 ``(current table, batch) -> next table``: union the two with a priority
-(batch over current; inside a batch, a later ``order`` wins), keep rank 1 per
-key, and publish the result as a NEW version directory (``publish_version``)
-— never overwrite the path being read.  Rank-1 filters become a partial
+(batch over current; inside a batch, a later ``order`` wins) and keep rank 1 per
+key.  The result goes to a new folder (``streaming.incremental`` commits it),
+never over the path being read.  Rank-1 filters become a partial
 ``WindowGroupLimit`` before the shuffle, so a hot key ships one row per map
 task.  Re-applying the same batch gives the same table (idempotent).
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,14 +46,6 @@ def upsert_latest(
     return both.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio")
 
 
-def publish_version(spark: SparkSession, df: DataFrame, root: str, version: int) -> str:
-    """Write ``df`` as ``root/v=<version>`` (overwrite of that version only) and
-    return the path; readers take the highest complete version."""
-    path = f"{root.rstrip('/')}/v={version:08d}"
-    df.write.mode("overwrite").parquet(path)
-    return path
-
-
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count (one aggregate)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

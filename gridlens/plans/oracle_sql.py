@@ -32,8 +32,9 @@ raw_fac AS (
     CASE c_mktsegment WHEN 'BUILDING' THEN 'Park or reserve' WHEN 'MACHINERY' THEN 'Sporting facility'
                       WHEN 'HOUSEHOLD' THEN 'Shopping centre' WHEN 'FURNITURE' THEN NULL
                       ELSE c_mktsegment END AS "Category",
-    CASE c_custkey % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN 'true' WHEN 2 THEN 'TRUE'
-                       WHEN 3 THEN 'No' WHEN 4 THEN 'False' ELSE NULL END AS "Accessible",
+    CASE WHEN (c_mktsegment IN ('BUILDING', 'HOUSEHOLD')) = (c_custkey % 11 < 9)
+         THEN CASE c_custkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'true' ELSE 'TRUE' END
+         ELSE CASE c_custkey % 3 WHEN 0 THEN 'No' WHEN 1 THEN 'False' END END AS "Accessible",
     CASE c_custkey % 7 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'TRUE' ELSE NULL END AS "ChangingPlaces",
     CASE c_custkey % 5 WHEN 0 THEN 'Unisex' WHEN 1 THEN 'Male' WHEN 2 THEN 'Female'
                        WHEN 3 THEN 'Male/Female' ELSE NULL END AS "Gender",

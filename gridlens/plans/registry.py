@@ -1,8 +1,8 @@
 """Query registry: name -> (Spark builder, optional DuckDB oracle SQL).
 
 A builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  Oracle SQL
-is written independently of the Spark code (it is the check, not a copy of
-it) against the pre-registered views of the driver's tables.
+states the definition in SQL, against the pre-registered views of the driver's
+tables; both sides round floating results alike (``rnd``).
 """
 
 from __future__ import annotations
@@ -37,19 +37,17 @@ def register(name: str, sql: str | None = None):
 
 # Rounding used on BOTH sides of the comparison.  Engine ``round`` functions
 # break decimal ties differently (one rounds the shortest decimal text, the
-# other the binary value), so both sides use the same IEEE arithmetic:
-# floor(x * 10^d + 0.5) / 10^d, leaving NaN, infinities and huge values as is.
+# other the binary value), so both sides use the same IEEE arithmetic at every
+# magnitude: the nearest integer to x * 10^d, half to even, divided by 10^d.
 _SCALE = float(10**DIGITS)
-_LIMIT = 1e12
 
 
 def rnd(c):
-    scaled = F.floor(c * F.lit(_SCALE) + F.lit(0.5)) / F.lit(_SCALE)
-    return F.when(F.abs(c) < F.lit(_LIMIT), scaled).otherwise(c)
+    return F.rint(c * F.lit(_SCALE)) / F.lit(_SCALE)
 
 
 def rnd_sql(expr: str) -> str:
-    return f"(CASE WHEN abs({expr}) < 1e12 THEN floor(({expr}) * 1e6 + 0.5) / 1e6 ELSE {expr} END)"
+    return f"(round_even(CAST({expr} AS DOUBLE) * 1e6, 0) / 1e6)"
 
 
 def expand_rnd(sql: str) -> str:

@@ -28,8 +28,8 @@ _GAPS = """
 gaps AS (
   SELECT lat_bin, lon_bin,
          CAST(greatest(0e0, round_even((park_count + sport_count + shopping_count) * 1.25e0
-                                       + COALESCE(accessibility_rate, 0e0), 0)) AS INTEGER) AS predicted_count,
-         CAST(greatest(0e0, round_even(CAST(toilet_count AS DOUBLE), 0)) AS INTEGER) AS actual_count
+                                       + COALESCE(accessibility_rate, 0e0), 0)) AS BIGINT) AS predicted_count,
+         CAST(greatest(0e0, round_even(CAST(toilet_count AS DOUBLE), 0)) AS BIGINT) AS actual_count
   FROM cell_features),
 gap_t AS (SELECT lat_bin, lon_bin, predicted_count, actual_count, predicted_count - actual_count AS gap FROM gaps)"""
 
@@ -52,30 +52,33 @@ def q_feature_statistics(spark, sf_dir):
     return rounded(report.feature_statistics(cell_table(spark, sf_dir), datasets.CELL_FEATURES))
 
 
+_FINGERPRINT_INT = ["lat_bin", "lon_bin", "toilet_count", "park_count", "sport_count", "shopping_count", "suburb_toilet_count"]
+_FINGERPRINT_COLS = [
+    "lat_bin", "lon_bin", "toilet_count", "avg_distance_to_center", "min_distance_to_center", "accessibility_rate",
+    "avg_gender_encoded", "avg_category_encoded", "park_count", "sport_count", "shopping_count", "suburb_accessibility",
+    "suburb_toilet_count",
+]
+
+
+def _field_sql(c):
+    text = f"CAST({c} AS VARCHAR)" if c in _FINGERPRINT_INT else f"replace(printf('%a', RND({c})), 'p+', 'p')"
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE length({text}) || ':' || {text} END"
+
+
+# floating features are rounded before they are hashed: their sums depend on the order of rows in the last bits
 @register(
     "data_fingerprint",
-    with_ctes(["cell_features"], """
+    with_ctes(["cell_features"], f"""
 SELECT count(*) AS "rows",
        CAST(COALESCE(sum(h), 0) % 281474976710656 AS BIGINT) AS fingerprint,
        lower(hex(CAST(COALESCE(sum(h), 0) % 281474976710656 AS BIGINT))) AS fingerprint_hex,
-       'lat_bin,lon_bin,toilet_count,avg_distance_to_center,min_distance_to_center,accessibility_rate,avg_gender_encoded,avg_category_encoded,park_count,sport_count,shopping_count,suburb_accessibility,suburb_toilet_count' AS columns
+       '{','.join(_FINGERPRINT_COLS)}' AS columns
 FROM (
-  SELECT CAST(('0x' || substr(md5(concat_ws('|',
-      COALESCE(CAST(lat_bin AS VARCHAR), ''), COALESCE(CAST(lon_bin AS VARCHAR), ''),
-      COALESCE(CAST(toilet_count AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(avg_distance_to_center * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(min_distance_to_center * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(accessibility_rate * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(avg_gender_encoded * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(avg_category_encoded * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(park_count AS VARCHAR), ''), COALESCE(CAST(sport_count AS VARCHAR), ''),
-      COALESCE(CAST(shopping_count AS VARCHAR), ''),
-      COALESCE(CAST(CAST(floor(suburb_accessibility * 1e6 + 0.5) AS BIGINT) AS VARCHAR), ''),
-      COALESCE(CAST(suburb_toilet_count AS VARCHAR), ''))), 1, 12)) AS BIGINT) AS h
+  SELECT CAST(('0x' || substr(md5({' || '.join(map(_field_sql, _FINGERPRINT_COLS))}), 1, 12)) AS BIGINT) AS h
   FROM cell_features) t"""),
 )
 def q_data_fingerprint(spark, sf_dir):
-    return report.data_fingerprint(cell_table(spark, sf_dir))
+    return report.data_fingerprint(rounded(cell_table(spark, sf_dir)))
 
 
 @register(
@@ -90,9 +93,10 @@ def q_class_balance(spark, sf_dir):
 
 
 _SEV = """
-sev AS (SELECT event_id, user_id, ts, CAST(event_type IN ('click', 'purchase') AS INTEGER) AS label,
-               value / (value + 50e0) AS proba,
-               CAST(value / (value + 50e0) >= 0.5e0 AS INTEGER) AS predicted
+sev AS (SELECT event_id, user_id, ts,
+               CASE WHEN event_id % 307 <> 0 THEN CAST(event_type IN ('click', 'purchase') AS INTEGER) END AS label,
+               CASE WHEN event_id % 211 <> 0 THEN value / (value + 50e0) END AS proba,
+               CASE WHEN event_id % 211 <> 0 THEN CAST(value / (value + 50e0) >= 0.5e0 AS INTEGER) END AS predicted
         FROM events)"""
 
 
@@ -141,7 +145,7 @@ def q_bottom_gaps(spark, sf_dir):
     "gap_histogram",
     with_ctes(["cell_features"], """
 SELECT b.bin, RND(lo + b.bin * (hi - lo) / 50e0) AS bin_start, RND(lo + (b.bin + 1) * (hi - lo) / 50e0) AS bin_end,
-       COALESCE(c.n, 0) AS n
+       COALESCE(c.n, 0) AS n, (SELECT count(*) FROM gap_t WHERE gap IS NULL) AS n_other
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 50)) b
 CROSS JOIN st
 LEFT JOIN (
@@ -172,15 +176,19 @@ _HASH = "CAST(('0x' || substr(md5({text}), 1, 15)) AS BIGINT)"
 
 
 def _h(seed, *cols):
-    parts = " || ':' || ".join([f"'{seed}'"] + [f"CAST({c} AS VARCHAR)" for c in cols])
-    return _HASH.format(text=parts)
+    texts = [f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols]
+    return _HASH.format(text=" || ".join([f"'{seed}|'", *texts]))
+
+
+# a fifth of the 60-bit hash range
+_FIFTH = "CAST(0.2e0 * 1152921504606846976e0 AS BIGINT)"
 
 
 @register(
     "hash_split",
     f"""
 SELECT o_orderkey, o_orderstatus,
-       CASE WHEN {_h(42, 'o_orderkey')} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+       CASE WHEN {_h(42, 'o_orderkey')} < {_FIFTH} THEN 'test' ELSE 'train' END AS split
 FROM orders""",
 )
 def q_hash_split(spark, sf_dir):
@@ -205,8 +213,8 @@ def q_stratified_split(spark, sf_dir):
     "nested_split",
     f"""
 SELECT o_orderkey,
-       CASE WHEN {_h(42, 'o_orderkey')} % 100 < 20 THEN 'test'
-            WHEN {_h(43, 'o_orderkey')} % 100 < 20 THEN 'valid' ELSE 'train' END AS split
+       CASE WHEN {_h(42, 'o_orderkey')} < {_FIFTH} THEN 'test'
+            WHEN {_h(43, 'o_orderkey')} < {_FIFTH} THEN 'valid' ELSE 'train' END AS split
 FROM orders""",
 )
 def q_nested_split(spark, sf_dir):
@@ -218,7 +226,7 @@ def q_nested_split(spark, sf_dir):
     "group_split",
     f"""
 SELECT o_orderkey, o_custkey,
-       CASE WHEN {_h(42, 'o_custkey')} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+       CASE WHEN {_h(42, 'o_custkey')} < {_FIFTH} THEN 'test' ELSE 'train' END AS split
 FROM orders""",
 )
 def q_group_split(spark, sf_dir):
@@ -279,10 +287,11 @@ def q_geo_cell_index(spark, sf_dir):
 @register(
     "regression_metrics",
     """
-WITH reg AS (SELECT l_quantity AS actual, l_extendedprice * 1e-3 AS predicted FROM lineitem)
+WITH reg AS (SELECT l_quantity AS actual, l_extendedprice * 1e-3 AS predicted,
+                    avg(l_quantity) OVER () AS mean_actual FROM lineitem WHERE l_orderkey % 199 <> 0)
 SELECT count(*) AS n, RND(sqrt(avg((predicted - actual) * (predicted - actual)))) AS rmse,
        RND(avg(abs(predicted - actual))) AS mae,
-       RND(1e0 - sum((predicted - actual) * (predicted - actual)) / (var_pop(actual) * count(*))) AS r2,
+       RND(1e0 - sum((predicted - actual) * (predicted - actual)) / sum((actual - mean_actual) * (actual - mean_actual))) AS r2,
        RND(quantile_cont(abs(predicted - actual), 0.5)) AS median_ae
 FROM reg""",
 )
@@ -301,7 +310,7 @@ SELECT count(*) AS n, RND(avg(CAST(label = predicted AS DOUBLE))) AS accuracy,
                 ELSE count_if(label = 1 AND predicted = 1) / count_if(label = 1) END) AS recall,
        RND(CASE WHEN count_if(label = 1) + count_if(predicted = 1) = 0 THEN 0e0
                 ELSE 2e0 * count_if(label = 1 AND predicted = 1) / (count_if(label = 1) + count_if(predicted = 1)) END) AS f1
-FROM sev""", more=_SEV),
+FROM sev WHERE label IS NOT NULL AND predicted IS NOT NULL""", more=_SEV),
 )
 def q_classification_metrics(spark, sf_dir):
     scored = metrics.with_threshold(bindings.scored_events(spark, sf_dir), "proba")
@@ -333,9 +342,10 @@ def q_confusion_matrix(spark, sf_dir):
 
 
 _CURVE = _SEV + """,
+ranked AS (SELECT * FROM sev WHERE label IS NOT NULL AND proba IS NOT NULL),
 h AS (SELECT proba AS score, CAST(sum(label) AS BIGINT) AS pos, CAST(sum(1 - label) AS BIGINT) AS neg
-      FROM sev GROUP BY proba),
-t AS (SELECT CAST(sum(label) AS BIGINT) AS "P", CAST(sum(1 - label) AS BIGINT) AS "N" FROM sev),
+      FROM ranked GROUP BY proba),
+t AS (SELECT CAST(sum(label) AS BIGINT) AS "P", CAST(sum(1 - label) AS BIGINT) AS "N" FROM ranked),
 c AS (SELECT h.*, sum(pos) OVER (ORDER BY score) AS cum_pos, sum(neg) OVER (ORDER BY score) AS cum_neg FROM h),
 pts AS (
   SELECT score AS threshold, pos, neg,
@@ -394,9 +404,9 @@ _SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"""
 WITH li AS (
   SELECT l_orderkey, l_linenumber, {', '.join(_SCALE_COLS)},
-         CASE WHEN {_h(42, 'l_orderkey', 'l_linenumber')} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+         CASE WHEN {_h(42, 'l_orderkey', 'l_linenumber')} < {_FIFTH} THEN 'test' ELSE 'train' END AS split
   FROM lineitem),
-st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in _SCALE_COLS)} FROM li WHERE split = 'train')
+st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in _SCALE_COLS)} FROM li WHERE split = 'train')
 SELECT l_orderkey, l_linenumber, split,
        {', '.join(f'RND(CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 0e0 ELSE ({c} - m_{c}) / s_{c} END) AS {c}' for c in _SCALE_COLS)}
 FROM li CROSS JOIN st""",

@@ -79,21 +79,32 @@ def q_upsert_composite_key(spark, sf_dir):
 
 _RUNS_CTE = """
 reg AS (
-  SELECT l_orderkey, l_linenumber, l_quantity AS actual, l_extendedprice * 1e-3 AS predicted,
-         date_trunc('month', l_shipdate) AS run_month
+  SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 199 <> 0 THEN l_quantity END AS actual,
+         l_extendedprice * 1e-3 AS predicted, date_trunc('month', l_shipdate) AS run_month
   FROM lineitem),
-runs AS (
+month_mean AS (SELECT run_month, avg(actual) AS mean_actual FROM reg GROUP BY run_month),
+scored AS (SELECT reg.*, mean_actual FROM reg JOIN month_mean USING (run_month) WHERE actual IS NOT NULL),
+run_rows AS (
   SELECT 'run_' || strftime(run_month, '%Y%m') AS run_id, 'lineitem_quantity' AS experiment_name,
          'price_ratio' AS model_version,
          sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse,
          avg(abs(predicted - actual)) AS mae,
-         CASE WHEN var_pop(actual) * count(*) = 0 THEN NULL
-              ELSE 1e0 - sum((predicted - actual) * (predicted - actual)) / (var_pop(actual) * count(*)) END AS r2,
-         count(*) AS n, run_month AS trained_at,
+         CASE WHEN min(actual) = max(actual) THEN NULL
+              ELSE 1e0 - sum((predicted - actual) * (predicted - actual))
+                         / sum((actual - mean_actual) * (actual - mean_actual)) END AS r2,
+         count(*) AS n, [50, 100, 200][CAST(month(run_month) % 3 + 1 AS INTEGER)] AS n_estimators,
+         CAST(4 + month(run_month) % 4 * 2 AS INTEGER) AS max_depth,
+         CASE WHEN month(run_month) % 2 = 0 THEN 0.1e0 ELSE 0.2e0 END AS learning_rate, run_month AS trained_at,
          CASE WHEN count(*) >= 30 THEN 'success' ELSE 'failed' END AS status
-  FROM reg GROUP BY run_month)"""
+  FROM scored GROUP BY run_month),
+runs AS (
+  SELECT * EXCLUDE (trained_at, status),
+         '{"n_estimators":' || n_estimators || ',"max_depth":' || max_depth || ',"learning_rate":' || learning_rate || '}' AS params,
+         '{"source":"lineitem","rows":' || n || '}' AS tags, trained_at, status
+  FROM run_rows)"""
 
-_RUN_COLS = "run_id, experiment_name, model_version, RND(rmse) AS rmse, RND(mae) AS mae, RND(r2) AS r2, n, trained_at, status"
+_RUN_COLS = ("run_id, experiment_name, model_version, RND(rmse) AS rmse, RND(mae) AS mae, RND(r2) AS r2, n, n_estimators, max_depth, "
+             "RND(learning_rate) AS learning_rate, params, tags, trained_at, status")
 
 
 @register(
@@ -103,7 +114,8 @@ SELECT {_RUN_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY prio DESC) AS rn FROM (
     SELECT *, 0 AS prio FROM runs WHERE trained_at < TIMESTAMP '1999-01-01'
     UNION ALL
-    SELECT run_id, experiment_name, 'price_ratio_v2' AS model_version, rmse, mae, r2, n, trained_at, status, 1 AS prio
+    SELECT run_id, experiment_name, 'price_ratio_v2' AS model_version, rmse, mae, r2, n,
+           n_estimators, max_depth, learning_rate, params, tags, trained_at, status, 1 AS prio
     FROM runs WHERE trained_at >= TIMESTAMP '1998-07-01') u) t
 WHERE rn = 1""", more=_RUNS_CTE),
 )
@@ -149,7 +161,7 @@ def q_latest_run_rows(spark, sf_dir):
 @register(
     "run_comparison",
     with_ctes([], f"""
-SELECT {_RUN_COLS}, row_number() OVER (ORDER BY trained_at, run_id) AS run_index FROM runs""",
+SELECT {_RUN_COLS}, CAST(row_number() OVER (ORDER BY trained_at, run_id) AS INTEGER) AS run_index FROM runs""",
               more=_RUNS_CTE),
 )
 def q_run_comparison(spark, sf_dir):

@@ -63,11 +63,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, set up if missing.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir);
-    only when neither is set do we make a fresh local one — which is the
-    test / single-machine case.
+    only when neither is set and the session runs on this machine alone do we
+    make a fresh local one.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and (sc.master.startswith("local-cluster") or not sc.master.startswith("local")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="gridlens-ckpt-")
         sc.setCheckpointDir(root)

@@ -1,34 +1,96 @@
 """Incremental load: new landed files are merged into a keyed table.
 
-Structured Streaming file source -> ``foreachBatch`` -> keyed upsert that
-publishes a new table version per micro-batch.  ``trigger(availableNow=True)``
-processes everything landed so far and stops (a scheduled incremental job);
-the stream checkpoint makes it resume where it stopped, and a re-run of a
-failed micro-batch rewrites the same version from the same inputs, so the
-result is the same whether or not an executor or the driver died mid-way.
+Structured Streaming file source -> ``foreachBatch`` -> keyed upsert.
+``trigger(availableNow=True)`` processes everything landed so far and stops (a
+scheduled incremental job); the stream checkpoint makes it resume where it
+stopped.
+
+The table is a set of key-hash buckets.  A micro-batch rewrites only the buckets
+that its keys fall into, each write into a folder of its own, and then commits
+by appending rows ``(version, bucket, path)`` to the table's manifest.  The
+newest row of each bucket names its data, so a version is read from what was
+committed and never from a version number that is guessed: a lost stream
+checkpoint merges the landed files into the committed table once more (which
+changes nothing), and data that the manifest names but that cannot be read
+raises instead of starting from empty.
 
 Each record carries the number of the load it came from; the merge keeps the
 row from the highest load per key, so files arriving out of order do not let
 an older load overwrite a newer one.
-
-Each micro-batch publishes a full table version, so micro-batches should be
-as large as the cluster handles: ``files_per_trigger`` is a memory bound, not
-a default (unset, a run takes everything landed since the last run).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from gridlens.operators.upsert import publish_version, upsert_latest
+from gridlens.operators.upsert import upsert_latest
+
+BUCKETS = 32
+_MANIFEST = "version long, bucket int, path string"
+
+
+class KeyedTable:
+    """A bucketed table under ``root`` with a manifest of committed versions."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema, buckets: int = BUCKETS) -> None:
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+        self.schema = spark.createDataFrame([], schema).schema
+
+    def _manifest(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        try:
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{self.root}/data")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None  # nothing was ever written
+            raise
+        raise FileNotFoundError(f"{self.root} holds data but its manifest is missing")
+
+    def committed(self) -> dict[int, tuple[int, str]]:
+        """bucket -> (version, path) of its newest committed data; one row per bucket."""
+        m = self._manifest()
+        if m is None:
+            return {}
+        newest = m.groupBy("bucket").agg(F.max(F.struct("version", "path")).alias("v")).select("bucket", "v.*")
+        return {r["bucket"]: (r["version"], r["path"]) for r in newest.collect()}
+
+    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """The committed rows, of all buckets or those named; raises if data that was committed is gone."""
+        paths = [path for b, (_, path) in sorted(self.committed().items()) if buckets is None or b in set(buckets)]
+        return self._rows(paths)
 
+    def _rows(self, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
-def _version_path(root: str, v: int) -> str:
-    return f"{root.rstrip('/')}/v={v:08d}"
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
+
+    def merge(self, batch: DataFrame, load_col: str, order: Sequence[Column] = ()) -> None:
+        """Upsert ``batch`` and commit the next version of the buckets it touches."""
+        batch = batch.select(*self.schema.names)
+        touched = sorted(r[0] for r in batch.select(self._bucket()).distinct().collect())  # ``buckets`` at most
+        if not touched:
+            return
+        now = self.committed()
+        before = self._rows([now[b][1] for b in touched if b in now])
+        after = upsert_latest(before, batch, self.keys, list(order), version_col=load_col)
+        path = f"{self.root}/data/{uuid.uuid4().hex}"
+        after.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(path)
+        version = max((v for v, _ in now.values()), default=-1) + 1
+        rows = [(version, b, f"{path}/_bucket={b}") for b in touched]
+        # one small file: it appears as a whole or not at all
+        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
 
 def incremental_upsert(
@@ -44,42 +106,21 @@ def incremental_upsert(
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Merge everything landed in ``landing_dir`` (Parquet) into the table at
-    ``table_root``; returns the newest version."""
-    state = {"last": None}
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(_version_path(table_root, batch_id - 1))
-            except AnalysisException:
-                prev = None
-        if prev is None:
-            prev = initial if initial is not None else spark.createDataFrame([], batch.schema)
-        nxt = upsert_latest(prev.select(*batch.columns), batch, keys, list(order), version_col=load_col)
-        publish_version(spark, nxt, table_root, batch_id)
-        state["last"] = batch_id
-
+    ``table_root``; returns the committed rows.  ``initial`` is the table's
+    first version, taken when nothing is committed yet.  ``files_per_trigger``
+    bounds a micro-batch (unset, a run takes everything landed since the last)."""
+    table = KeyedTable(spark, table_root, keys, schema)
+    if initial is not None and not table.committed():
+        table.merge(initial, load_col, order)
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     query = (
         reader.parquet(landing_dir)
-        .writeStream.foreachBatch(merge)
+        .writeStream.foreachBatch(lambda batch, _: table.merge(batch, load_col, order))
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    last = state["last"]
-    if last is None:
-        # nothing new this run: the newest version already published (the
-        # version folders are ``v=<n>`` partitions of the table root)
-        try:
-            newest = spark.read.parquet(table_root).agg(F.max("v").alias("v")).first()
-        except AnalysisException:  # no version published yet
-            newest = None
-        if newest is None or newest["v"] is None:
-            return initial if initial is not None else spark.createDataFrame([], schema)
-        last = int(newest["v"])
-    return spark.read.parquet(_version_path(table_root, last))
+    return table.read()

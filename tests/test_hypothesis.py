@@ -41,5 +41,5 @@ def test_fingerprint_ignores_order(spark, vals, seed):
        p=st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
 def test_exact_quantile_equals_numpy(spark, vals, p):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = ordered.exact_quantiles(df, "x", [p], buckets=4, checkpoint=False).first()["quantile"]
+    got = ordered.exact_quantiles(df, "x", [p]).first()["quantile"]
     assert abs(got - float(np.quantile(np.array(vals, dtype=float), p))) < 1e-9

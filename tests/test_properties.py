@@ -56,7 +56,7 @@ def test_prefix_sums_match_pandas(spark):
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "v": rng.integers(0, 400, 3000).astype(float),
                         "w": rng.integers(1, 5, 3000)})
     df = spark.createDataFrame(pdf)
-    got = ordered.prefix_sums(df, "v", ["w"], ["g"], buckets=16).toPandas()
+    got = ordered.prefix_sums(df, "v", ["w"], ["g"]).toPandas()
     exp = pdf.copy()
     exp["cum_w"] = exp.apply(lambda r: pdf[(pdf.g == r.g) & (pdf.v <= r.v)].w.sum(), axis=1)
     m = got.sort_values(["g", "v", "w"]).reset_index(drop=True)
