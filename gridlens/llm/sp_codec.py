@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,42 @@ SPACE = "▁"
 MARK, STOP = b"\xff", b"\xfe"
 # Bytes of distinct words that are indexed at once.
 INDEX_BYTES = 1_000_000
-# Words and pairs of pieces that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+# Words that a worker remembers before it starts anew.
+REMEMBERED = 400_000
+# Pieces whose fitting pairs are kept in one square table.
+TABLE = 8192
+
+
+class Pairs:
+    """Which pieces may follow which, in a square table over the pieces met so far; filled when first asked."""
+
+    def __init__(self, fits) -> None:
+        self.fits, self.place, self.pieces = fits, {}, []
+        self.known = np.full((TABLE, TABLE), -1, np.int8)
+
+    def places(self, tokens: np.ndarray) -> np.ndarray:
+        """The table's places of these pieces; the table starts anew where it would overflow."""
+        distinct, back = np.unique(tokens, return_inverse=True)
+        if len(distinct) > TABLE:
+            raise OverflowError("more different pieces than the table holds")
+        new = [t for t in distinct.tolist() if t not in self.place]
+        if len(self.pieces) + len(new) > TABLE:
+            self.place, self.pieces, new = {}, [], distinct.tolist()
+            self.known.fill(-1)
+        for t in new:
+            self.place[t] = len(self.pieces)
+            self.pieces.append(t)
+        return np.array([self.place[t] for t in distinct.tolist()], np.int32)[back]
+
+    def ask(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        out = self.known[left, right]
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            code = np.unique(left[missing].astype(np.int64) * TABLE + right[missing])
+            for x, y in zip((code // TABLE).tolist(), (code % TABLE).tolist()):
+                self.known[x, y] = self.fits(self.pieces[x], self.pieces[y])
+            out = self.known[left, right]
+        return out > 0
 
 
 class Codec:
@@ -51,8 +86,8 @@ class Codec:
         order = {s: n for n, s in enumerate(sorted(set(score.values()), reverse=True))}
         rank = {p: order[s] for p, s in score.items()}
         self.merges = Merges(lambda a, b: rank.get(a + b), list, lambda a, b: a + b)
-        self.pairs: dict[int, bool] = {}
-        self.memory: dict[str, list[int]] = {}
+        self.pairs = Pairs(self._fit)
+        self._forget()
         self.runs = {p for p in self.id if len(p) > 1 and set(p) == {SPACE}}
         if any(SPACE in p[1:] and p not in self.runs for p in self.id):
             raise ValueError("a piece holds a space mark inside")
@@ -77,121 +112,138 @@ class Codec:
             n %= size
         return out
 
-    def words(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word.  A word is one space mark and what follows up to the next."""
-        out: list[list[int]] = []
-        start = size = 0
+    def _forget(self) -> None:
+        """Words that have been encoded: their numbers, and where in ``flat`` their ids are."""
+        self.memory: dict[str, int] = {}
+        self.flat = np.empty(0, np.int32)
+        self.size = np.empty(0, np.int64)
+
+    def _fit(self, a: int, b: int) -> bool:
+        """Bytes of characters without a piece stand beside anything."""
+        return not (self.name[a] and self.name[b]) or self.merges.fits(self.name[a], self.name[b])
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words one after the other, and each word's number of ids.
+
+        A word is one space mark and what follows up to the next.
+        """
+        parts, start, size = [], 0, 0
         for i, w in enumerate(words):
             size += len(w.encode()) + 1
-            if size > INDEX_BYTES:
-                out += self._indexed(words[start : i + 1])
+            if size > INDEX_BYTES or i == len(words) - 1:
+                parts.append(self._indexed(words[start : i + 1]))
                 start, size = i + 1, 0
-        return out + (self._indexed(words[start:]) if start < len(words) else [])
+        if not parts:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    def _indexed(self, words: list[str]) -> list[list[int]]:
+    def _indexed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         blob = MARK + (STOP + MARK).join(w[1:].encode() for w in words) + STOP
         data = np.frombuffer(blob, np.uint8)
         order, first = suffix_array(data, int(self.patterns.size.max()))
         begin, end = self.patterns.ranges(data, order, first)
         times = end - begin
         which = np.repeat(np.arange(len(times)), times)
-        at = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(begin, times)
+        at = np.arange(len(which)) - np.repeat(np.cumsum(times) - times - begin, times)
         source = order[at].astype(np.int64)
         target = source + self.patterns.size[which]
         # a character without a piece of its own is written as bytes, and no piece joins it
         starts = np.flatnonzero(((data & 0xC0) != 0x80) & (data != STOP[0]))
-        stops = data == STOP[0]
         covered = np.zeros(len(data), bool)
         covered[source[self.single[which]]] = True
         bare = starts[~covered[starts]]
         width = np.where(data[bare] >= 0xF0, 4, np.where(data[bare] >= 0xE0, 3, np.where(data[bare] >= 0xC0, 2, 1)))
-        width[data[bare] == MARK[0]] = 1
+        bare = np.repeat(bare, width) + np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
         source = np.concatenate([source, bare])
-        target = np.concatenate([target, bare + width])
-        token = np.concatenate([self.searched[which], np.full(len(bare), -1)])
-        # by position, the longest edge to a place first
-        edges = np.argsort((target << 8) | (source - target + 255))
-        return self._relax(words, data, np.flatnonzero(stops), source[edges].tolist(), target[edges].tolist(), token[edges].tolist())
-
-    def _relax(self, words: list[str], data: np.ndarray, stops: np.ndarray, sources: list, targets: list, tokens: list) -> list[list[int]]:
-        """Keep at each place the edge that fits the edge kept where it begins; then read each word backwards."""
-        n = len(data) + 1
-        last, back = [None] * n, [-1] * n
-        begins = np.zeros(n, bool)
-        begins[0] = True
-        begins[stops + 1] = True
-        begins = begins.tolist()
-        name, fits, known = self.name, self.merges.fits, self.pairs
-        for s, e, t in zip(sources, targets, tokens):
-            if back[e] >= 0:
+        target = np.concatenate([target, bare + 1])
+        token = np.concatenate([self.searched[which], np.array(self.byte_id)[data[bare]]]).astype(np.int64)
+        return self._relax(np.flatnonzero(data == STOP[0]), source, target, token)
+
+    def _relax(self, stops: np.ndarray, source: np.ndarray, target: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keep at each place the edge that fits the edge kept where it begins; then read the words backwards.
+
+        Edges are sorted by their end within the word, and among those that end
+        together by length; all words of the batch are relaxed side by side.
+        """
+        begins = np.append(0, stops[:-1] + 1)
+        order = np.argsort((target << 8) | (source - target + 255))  # by position, the longest first
+        source, target, token = source[order], target[order], token[order]
+        fresh = np.append(True, target[1:] != target[:-1])
+        turn = np.arange(len(target)) - np.maximum.accumulate(np.where(fresh, np.arange(len(target)), 0))
+        within = target - begins[np.searchsorted(stops, target)]
+        key = within * 256 + np.minimum(turn, 255)
+        order = np.argsort(key, kind="stable")
+        source, target, token, key = source[order], target[order], token[order], key[order]
+        cut = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        place = self.pairs.places(token)
+        n = int(stops[-1]) + 1
+        back = np.full(n, -1, np.int64)
+        last = np.full(n, -1, np.int32)
+        kept = np.full(n, -1, np.int64)
+        back[begins] = begins
+        for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(key)]):
+            s, e = source[lo:hi], target[lo:hi]
+            open_ = np.flatnonzero((back[e] < 0) & (back[s] >= 0))
+            if not len(open_):
                 continue
-            if begins[s]:
-                last[e], back[e] = t, s
-            else:
-                p = last[s]
-                if p is None:
-                    continue
-                ok = known.get(p << 20 | t)
-                if ok is None:
-                    ok = known[p << 20 | t] = p < 0 or t < 0 or fits(name[p], name[t])
-                if ok:
-                    last[e], back[e] = t, s
-        out, lo = [], 0
-        for hi in stops.tolist():
-            at, ids = hi, []
-            while at > lo:
-                if last[at] is None:
-                    raise ValueError("a word has no encoding")
-                if last[at] < 0:
-                    ids += [self.byte_id[b] for b in reversed(data[back[at] : at].tolist())]
-                else:
-                    ids.append(last[at])
-                at = back[at]
-            ids.reverse()
-            out.append(ids)
-            lo = hi + 1
-        return out
+            s, e, mine = s[open_], e[open_], place[lo:hi][open_]
+            ok = last[s] < 0  # the edge begins the word
+            after = np.flatnonzero(~ok)
+            ok[after] = self.pairs.ask(last[s[after]], mine[after])
+            back[e[ok]], last[e[ok]], kept[e[ok]] = s[ok], mine[ok], token[lo:hi][open_][ok]
+        if (back[stops] < 0).any():
+            raise ValueError("a word has no encoding")
+        word, at = np.arange(len(stops)), stops
+        steps: list[tuple] = []
+        while len(word):
+            steps.append((word, kept[at]))
+            at = back[at]
+            going = at > begins[word]
+            word, at = word[going], at[going]
+        owner = np.concatenate([w for w, _ in steps])
+        ids = np.concatenate([k for _, k in steps])
+        # the steps of a word run from its end to its begin
+        order = np.argsort(owner[::-1], kind="stable")
+        return ids[::-1][order].astype(np.int32), np.bincount(owner, minlength=len(stops))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch one after the other, and where each text's begin (and the last end)."""
-        number: dict[str, int] = {}
-        seen: list[int] = []
-        counts = []
+        if len(self.memory) > REMEMBERED:
+            self._forget()
+        memory, seen, counts = self.memory, [], [0]
+        known = len(memory)
+        number = memory.setdefault
         for t in texts:
-            before = len(seen)
             if t:
-                seen += [number.setdefault(w, len(number)) for w in _units(t)]
-            counts.append(len(seen) - before)
-        units = list(number)
-        ids = self._units(units)
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([i for x in ids for i in x], np.int32)
-        start = np.cumsum(size) - size
+                seen += [number(w, len(memory)) for w in _units(t)]
+            counts.append(len(seen))
+        if len(memory) > known:
+            self._learn(list(islice(memory, known, None)))
         seen_ = np.array(seen, np.int64)
-        taken = gather(flat, start[seen_], size[seen_])
-        bounds = np.concatenate([[0], np.cumsum(size[seen_])]).astype(np.int64)
-        return taken, bounds[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-
-    def _units(self, units: list[str]) -> list[list[int]]:
-        """Units are runs of space marks and the word after them; the last mark belongs to the word."""
-        words, runs = [], []
-        for u in units:
-            body = u.lstrip(SPACE)
-            words.append(SPACE + body if body else "")
-            runs.append(len(u) - len(body) - bool(body))
-        memory = self.memory
-        if len(memory) + len(self.pairs) > REMEMBERED:
-            memory.clear()
-            self.pairs.clear()
-        new = [w for w in dict.fromkeys(words) if w and w not in memory]
-        memory.update(zip(new, self.words(new)))
-        out, lone = [], self.id[SPACE]
-        for w, run in zip(words, runs):
-            own = memory[w] if w else []
-            if run and own and own[0] == lone:  # the word's mark merged with nothing: it is one of the run
-                run, own = run + 1, own[1:]
-            out.append(self.space_run(run) + own if run else own)
-        return out
+        size = self.size[seen_]
+        start = (np.cumsum(self.size) - self.size)[seen_]
+        bounds = np.append(0, np.cumsum(size))
+        return gather(self.flat, start, size), bounds[counts]
+
+    def _learn(self, units: list[str]) -> None:
+        """Encode new units: runs of space marks and the word after them; the last mark belongs to the word."""
+        body = [u.lstrip(SPACE) for u in units]
+        words = dict.fromkeys(SPACE + w for w in body if w)
+        ids, size = self.words(list(words))
+        if len(words) < len(units) or any(len(u) - len(w) != 1 for u, w in zip(units, body)):
+            cut = np.split(ids, np.cumsum(size)[:-1]) if len(size) else []
+            of = dict(zip(words, cut))
+            rows, lone = [], self.id[SPACE]
+            for u, w in zip(units, body):
+                run = len(u) - len(w) - bool(w)
+                own = of[SPACE + w].tolist() if w else []
+                if run and own and own[0] == lone:  # the word's mark merged with nothing: it is one of the run
+                    run, own = run + 1, own[1:]
+                rows.append(self.space_run(run) + own if run else own)
+            size = np.array([len(r) for r in rows], np.int64)
+            ids = np.array([i for r in rows for i in r], np.int32)
+        self.flat = np.concatenate([self.flat, ids])
+        self.size = np.concatenate([self.size, size])
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
         """The texts of a batch of ids: pieces and bytes joined, without the space put before the text."""
