@@ -21,12 +21,11 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, Multila
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.functions.columns import grid_bin
+from gridlens.functions.columns import HASH_BITS, grid_bin
 from gridlens.operators.ordered import join_null_safe, prefix_sums
 
 # Default hyper-parameters of the two boosted-tree models.
@@ -170,77 +169,107 @@ def feature_importance(spark: SparkSession, model: PipelineModel, features: Sequ
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def fit_cached(pipeline: Pipeline, train: DataFrame, root: str, run_id: str) -> PipelineModel:
     """Load the model saved under ``root/run_id`` or fit, save and load it.
 
-    ``run_id`` should identify the training data and parameters (e.g. the
-    data fingerprint plus a parameter tag), so the same inputs reuse the same
-    model instead of training it again.  The returned model is always the
-    saved copy: it carries no training summary, which would otherwise pin the
-    training session inside every scoring task."""
-    try:
-        return load_model(root, run_id)
-    except Exception:  # noqa: BLE001 - not saved yet
+    ``run_id`` should identify the training data and all parameters, so the
+    same inputs reuse the same model instead of training it again.  A model
+    counts as saved once its marker is written; one that was saved but cannot
+    be loaded raises.  The returned model is always the saved copy: it carries
+    no training summary, which would otherwise pin the training session inside
+    every scoring task."""
+    spark = train.sparkSession
+    marker = f"{root.rstrip('/')}/{run_id}.saved"
+    if not _exists(spark, marker):
         save_model(pipeline.fit(train), root, run_id)
-        return load_model(root, run_id)
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
+    return load_model(root, run_id)
+
+
+def pipeline_params(pipeline: Pipeline) -> str:
+    """All parameters of all stages, set or default, as one text in a fixed order."""
+    out = []
+    for i, stage in enumerate(pipeline.getStages()):
+        values = {p.name: v for p, v in stage.extractParamMap().items()}
+        out.append(f"{i}:{type(stage).__name__}:{sorted((k, str(v)) for k, v in values.items())}")
+    return ";".join(out)
 
 
-def iteration_curve(spark: SparkSession, model: PipelineModel, data: DataFrame, loss: str | None = None) -> DataFrame:
-    """(iteration, loss) on ``data`` after each boosting iteration (the
-    regressor takes a loss name; the classifier uses its own log loss)."""
+def _features(model: PipelineModel, data: DataFrame) -> DataFrame:
+    return model.stages[0].transform(data) if len(model.stages) > 1 else data
+
+
+def _losses(model: PipelineModel, data: DataFrame, loss: str | None) -> list[float]:
     gbt = model.stages[-1]
-    feats = model.stages[0].transform(data) if len(model.stages) > 1 else data
+    feats = _features(model, data)
     try:
-        vals = gbt.evaluateEachIteration(feats, loss) if loss else gbt.evaluateEachIteration(feats)
-    except TypeError:
-        vals = gbt.evaluateEachIteration(feats)
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(vals)], "iteration int, loss double")
+        return list(gbt.evaluateEachIteration(feats, loss) if loss else gbt.evaluateEachIteration(feats))
+    except TypeError:  # the classifier takes no loss name
+        return list(gbt.evaluateEachIteration(feats))
+
+
+def iteration_curve(spark: SparkSession, model: PipelineModel, train: DataFrame, valid: DataFrame,
+                    loss: str | None = None) -> DataFrame:
+    """(iteration, train_loss, valid_loss) after each boosting iteration (the
+    regressor takes a loss name; the classifier uses its own log loss).  One
+    row per tree: bounded by the model."""
+    pairs = zip(_losses(model, train, loss), _losses(model, valid, loss))
+    rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(pairs)]
+    return spark.createDataFrame(rows, "iteration int, train_loss double, valid_loss double")
 
 
 def learning_curve(spark: SparkSession, df: DataFrame, estimator: Pipeline, label: str, key_hash: Column,
                    sizes: Sequence[float] = tuple(i / 10 for i in range(1, 11)), folds: int = 5,
                    parallelism: int = 8) -> DataFrame:
-    """Mean validation R² of ``folds``-fold cross validation at each training
-    size.  Sizes are nested hash buckets (a row in the 10 % set is in every
-    larger set) and a row's fold is a hash too, so reruns pick the same rows.
-    The size x fold fits are independent and run as concurrent Spark jobs."""
+    """Mean training and validation R² of ``folds``-fold cross validation at each
+    training size.  Sizes are nested ranges of the key hash (a row in the 10 %
+    set is in every larger set) and a row's fold is a part of its hash too, so
+    reruns pick the same rows.  The size x fold fits are independent and run as
+    concurrent Spark jobs."""
     from concurrent.futures import ThreadPoolExecutor
 
-    bucket = F.pmod(key_hash, F.lit(1000))
-    fold = F.pmod(F.shiftright(key_hash, 10), F.lit(folds)).cast("int")
-    base = df.withColumns({"_size_bucket": bucket, "_fold": fold})
+    fold = F.pmod(key_hash, F.lit(folds)).cast("int")
+    base = df.withColumns({"_h": key_hash, "_fold": fold})
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
 
     def score(task):
         s, k = task
-        part = base.filter(F.col("_size_bucket") < F.lit(int(round(s * 1000))))
-        model = estimator.fit(part.filter(F.col("_fold") != k))
-        return s, ev.evaluate(model.transform(part.filter(F.col("_fold") == k)))
+        part = base.filter(F.col("_h") < F.lit(int(s * (1 << HASH_BITS))))
+        inside, outside = part.filter(F.col("_fold") != k), part.filter(F.col("_fold") == k)
+        model = estimator.fit(inside)
+        return s, ev.evaluate(model.transform(inside)), ev.evaluate(model.transform(outside))
 
     tasks = [(float(s), k) for s in sizes for k in range(folds)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = list(pool.map(score, tasks))
-    rows = spark.createDataFrame(results, "train_size double, r2 double")
-    return rows.groupBy("train_size").agg(F.avg("r2").alias("cv_r2"), F.count(F.lit(1)).alias("folds"))
-
-
-def param_grid_search(spark: SparkSession, train: DataFrame, features, label, grid: dict, folds: int = 3,
-                      base_params: dict | None = None, parallelism: int = 4) -> DataFrame:
-    """Cross-validated R² for every combination of ``grid`` (GBT regressor)."""
-    pipe = gbt_regression_pipeline(features, label, base_params)
-    gbt = pipe.getStages()[-1]
-    names = {"max_depth": gbt.maxDepth, "learning_rate": gbt.stepSize, "n_estimators": gbt.maxIter}
-    builder = ParamGridBuilder()
-    for k, values in grid.items():
-        builder = builder.addGrid(names[k], values)
-    maps = builder.build()
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=42,
-                        parallelism=parallelism)
-    model = cv.fit(train)
-    rows = []
-    for pm, metric in zip(maps, model.avgMetrics):
-        d = {p.name: v for p, v in pm.items()}
-        rows.append((int(d.get("maxDepth", -1)), float(d.get("stepSize", -1.0)), int(d.get("maxIter", -1)),
-                     float(metric)))
-    return spark.createDataFrame(rows, "max_depth int, learning_rate double, n_estimators int, cv_r2 double")
+    rows = spark.createDataFrame(results, "train_size double, train double, cv double")
+    return rows.groupBy("train_size").agg(
+        F.avg("train").alias("train_r2"), F.avg("cv").alias("cv_r2"), F.count(F.lit(1)).alias("folds")
+    )
+
+
+def param_grid_search(spark: SparkSession, train: DataFrame, test: DataFrame, features, label, depths: Sequence[int],
+                      rates: Sequence[float], trees: Sequence[int], base_params: dict | None = None,
+                      parallelism: int = 8) -> DataFrame:
+    """RMSE and R² on ``test`` for every combination of depth, rate and number of trees (GBT regressor).
+
+    Boosting adds trees one at a time, so the model of fewer trees is the
+    beginning of the model of more: one fit per (depth, rate) gives all counts."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    spread = test.agg(F.var_pop(label)).first()[0]
+
+    def score(pair):
+        depth, rate = pair
+        params = {**(base_params or {}), "max_depth": depth, "learning_rate": rate, "n_estimators": max(trees)}
+        mse = _losses(gbt_regression_pipeline(features, label, params).fit(train), test, "squared")
+        return [(depth, rate, n, float(mse[n - 1]) ** 0.5, 1 - float(mse[n - 1]) / spread if spread else None) for n in trees]
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        rows = [r for part in pool.map(score, [(d, r) for d in depths for r in rates]) for r in part]
+    return spark.createDataFrame(rows, "max_depth int, learning_rate double, n_estimators int, rmse double, r2 double")

@@ -111,8 +111,9 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], group_cols: S
         F.struct(F.lit("hi").alias("which"), F.ceil("_h").alias("r")),
     )
     ranks = ranks.select(*keys, "p", "_h", F.explode(low_high).alias("t")).select(*keys, "p", "_h", "t.which", "t.r")
-    # one equality for the join even without groups
-    ranks, spots = ranks.withColumn("_one", F.lit(1)), ahead.withColumn("_one", F.lit(1))
+    # an equality to join on even without groups (a literal would be folded away)
+    ranks = ranks.withColumn("_one", F.col("r") * 0)
+    spots = ahead.withColumn("_one", F.col("_part").cast("long") * 0)
     hit = join_null_safe(ranks, spots, [*keys, "_one"]).filter(
         (F.col("_o") <= F.col("r")) & (F.col("r") < F.col("_o") + F.col("_t"))
     ).select(*keys, "_part", "p", "_h", "which", "r", "_o")

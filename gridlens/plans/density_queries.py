@@ -19,6 +19,12 @@ def lineitem_z(spark, sf_dir):
     return density.grid_zscore(lineitem_counts(spark, sf_dir))
 
 
+def event_z(spark, sf_dir):
+    sx, sy = tables.EVENT_CELL
+    binned = density.add_bins(tables.event_points(spark, sf_dir), "x", "y", sx, sy, names=("x_bin", "y_bin"))
+    return density.grid_zscore(density.grid_counts(binned, keys=("x_bin", "y_bin")))
+
+
 def facilities(spark, sf_dir):
     return normalize.normalize_facilities(tables.facility_raw(spark, sf_dir))
 
@@ -65,21 +71,21 @@ def q_grid_zscore(spark, sf_dir):
 
 @register(
     "hotspots",
-    with_ctes(["li_z"], "SELECT x_bin, y_bin, toilet_count, RND(z_score) AS z_score FROM li_z WHERE z_score > 2"),
+    with_ctes(["ev_z"], "SELECT x_bin, y_bin, toilet_count, RND(z_score) AS z_score FROM ev_z WHERE z_score > 2"),
 )
 def q_hotspots(spark, sf_dir):
-    return rounded(density.hotspots(lineitem_z(spark, sf_dir)))
+    return rounded(density.hotspots(event_z(spark, sf_dir)))
 
 
 @register(
     "hotspots_top10",
-    with_ctes(["li_z"], """
-SELECT x_bin, y_bin, toilet_count, RND(z_score) AS z_score FROM li_z WHERE z_score > 2
+    with_ctes(["ev_z"], """
+SELECT x_bin, y_bin, toilet_count, RND(z_score) AS z_score FROM ev_z WHERE z_score > 2
 ORDER BY toilet_count DESC, x_bin, y_bin LIMIT 10
 """),
 )
 def q_hotspots_top10(spark, sf_dir):
-    hot = density.hotspots(lineitem_z(spark, sf_dir))
+    hot = density.hotspots(event_z(spark, sf_dir))
     return rounded(density.top_cells(hot, 10, keys=("x_bin", "y_bin")))
 
 

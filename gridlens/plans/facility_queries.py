@@ -61,22 +61,20 @@ def q_first_existing_col(spark, sf_dir):
 @register(
     "try_cast_coords",
     with_ctes(["raw_fac"], """
-SELECT "_id", "Latitude" AS lat_text,
+SELECT "_id", CASE WHEN NOT regexp_full_match("Latitude", '-?[0-9]+\\.[0-9]+') THEN "Latitude" END AS junk_text,
        RND(TRY_CAST("Latitude" AS DOUBLE)) AS "Latitude",
        TRY_CAST("Latitude" AS DOUBLE) IS NULL AS lat_is_null,
        COALESCE(isnan(TRY_CAST("Latitude" AS DOUBLE)), false) AS lat_is_nan
-FROM raw_fac
-WHERE "Latitude" IS NULL OR NOT regexp_full_match("Latitude", '-?[0-9]+\\.[0-9]+')"""),
+FROM raw_fac"""),
 )
 def q_try_cast_coords(spark, sf_dir):
-    # Rows whose text is not a plain decimal (NULL, junk, NaN, ...) — the
-    # cases the lenient parse exists for.
+    # every row, with the text where it is no plain decimal (junk, NaN, ...)
     raw = tables.facility_raw(spark, sf_dir)
     lat = normalize.try_cast_double(raw, "Latitude")
     return rounded(
-        raw.filter(F.col("Latitude").isNull() | ~F.col("Latitude").rlike(r"^-?[0-9]+\.[0-9]+$")).select(
+        raw.select(
             "_id",
-            F.col("Latitude").alias("lat_text"),
+            F.when(~F.col("Latitude").rlike(r"^-?[0-9]+\.[0-9]+$"), F.col("Latitude")).alias("junk_text"),
             lat.alias("Latitude"),
             lat.isNull().alias("lat_is_null"),
             F.coalesce(F.isnan(lat), F.lit(False)).alias("lat_is_nan"),
@@ -339,6 +337,19 @@ _CELL_COLS = """lat_bin, lon_bin, toilet_count,
   RND(suburb_accessibility) AS suburb_accessibility, suburb_toilet_count"""
 
 
+# The stamp of one run: every row of its tables carries it.
+RUN_STAMP = "2026-01-01 00:00:00"
+
+
+@register(
+    "stamped_cell_features",
+    with_ctes(["cell_features"], f"SELECT lat_bin, lon_bin, toilet_count, TIMESTAMP '{RUN_STAMP}' AS created_at FROM cell_features"),
+)
+def q_stamped_cell_features(spark, sf_dir):
+    cells = datasets.cell_features(cell_rows(spark, sf_dir), stamp=RUN_STAMP)
+    return cells.select("lat_bin", "lon_bin", "toilet_count", F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
 @register("cell_features", with_ctes(["cell_features"], f"SELECT {_CELL_COLS} FROM cell_features"))
 def q_cell_features(spark, sf_dir):
     return rounded(datasets.cell_features(cell_rows(spark, sf_dir)))

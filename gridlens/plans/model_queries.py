@@ -8,6 +8,8 @@ the training work grows with the data.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from gridlens.functions.columns import stable_hash
@@ -22,10 +24,8 @@ CELL_Y = datasets.CELL_TARGET
 FAC_X = datasets.FACILITY_FEATURES
 FAC_Y = datasets.FACILITY_TARGET
 
-# Lighter boosting for the repeated-fit reports (learning curve, grid,
-# ablation): dozens of fits each, so fewer and shallower trees than the
-# headline model (whose defaults are the source pipeline's).
-REPORT_GBT = {"n_estimators": 10, "max_depth": 3}
+# The planned grid of hyper-parameters.
+GRID = {"depths": [4, 6, 8, 10], "rates": [0.01, 0.05, 0.1, 0.2], "trees": [50, 100, 200]}
 
 
 def model_root(spark):
@@ -35,35 +35,39 @@ def model_root(spark):
     return checkpoint_root(spark).rstrip("/") + "/gridlens-models"
 
 
-def run_id_for(train, tag: str) -> str:
+def run_id_for(train, tag: str, pipeline) -> str:
+    """Tag, fingerprint of the training data, digest of every parameter."""
     fp = report.data_fingerprint(train.drop("split")).first()["fingerprint_hex"]
-    return f"{tag}_{fp}"
+    return f"{tag}_{fp}_{hashlib.md5(models.pipeline_params(pipeline).encode()).hexdigest()[:12]}"
 
 
 def fit(spark, pipeline, train, tag):
-    """Fit once per (training data, model tag); returns the saved copy."""
-    return models.fit_cached(pipeline, train, model_root(spark), run_id_for(train, tag))
+    """Fit once per (training data, parameters); returns the saved copy."""
+    return models.fit_cached(pipeline, train, model_root(spark), run_id_for(train, tag, pipeline))
 
 
 def headline_regressor(spark, data):
     """The 100-tree regressor, trained once per training set and reused."""
     train = _train(data)
-    run_id = run_id_for(train, "gbt_regressor")
-    model = models.fit_cached(models.gbt_regression_pipeline(CELL_X, CELL_Y), train, model_root(spark), run_id)
+    pipe = models.gbt_regression_pipeline(CELL_X, CELL_Y)
+    run_id = run_id_for(train, "gbt_regressor", pipe)
+    model = models.fit_cached(pipe, train, model_root(spark), run_id)
     return model, run_id
 
 
 def cell_model_data(spark, sf_dir):
     cells = datasets.cell_features(cell_rows(spark, sf_dir))
     prep = datasets.prepare(cells, CELL_X, CELL_Y, keys=CELL_KEYS)
+    # sums of doubles differ in the last bits with the order of rows: model
+    # inputs are rounded, so equal data has equal inputs and an equal run id.
     # read once per boosting iteration: cut the lineage to the feature rows
-    return materialize(split.nested_split(prep, CELL_KEYS))
+    return materialize(split.nested_split(rounded(prep), CELL_KEYS))
 
 
 def facility_model_data(spark, sf_dir):
     fac = datasets.facility_features(facility_rows(spark, sf_dir))
     prep = datasets.prepare(fac, FAC_X, FAC_Y, keys=["_id"], integer_target=True)
-    return materialize(split.stratified_split(prep, ["_id"], FAC_Y))
+    return materialize(split.stratified_split(rounded(prep), ["_id"], FAC_Y))
 
 
 def _train(df):
@@ -148,11 +152,12 @@ def q_class_weighted_gbt_metrics(spark, sf_dir):
 @register("gbt_early_stopping")
 def q_gbt_early_stopping(spark, sf_dir):
     data = facility_model_data(spark, sf_dir)
-    data = split.nested_split(data.drop("split"), ["_id"])  # train / valid / test
+    data = split.nested_split(data.drop("split"), ["_id"], stratify=FAC_Y)  # train / valid / test
     fit_on = data.filter(F.col("split") != "test").withColumn("is_valid", F.col("split") == "valid")
     model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y, validation_col="is_valid"), fit_on,
                 "gbt_early_stopping")
-    curve = models.iteration_curve(spark, model, data.filter(F.col("split") == "valid"), "logistic")
+    part = lambda name: data.filter(F.col("split") == name)
+    curve = models.iteration_curve(spark, model, part("train"), part("valid"), "logistic")
     trees = model.stages[-1].getNumTrees
     return rounded(curve.withColumn("trees_kept", F.lit(trees)))
 
@@ -180,13 +185,13 @@ def q_feature_importance(spark, sf_dir):
 def q_iteration_curve(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
     model, _ = headline_regressor(spark, data)
-    return rounded(models.iteration_curve(spark, model, _test(data), "squared"))
+    return rounded(models.iteration_curve(spark, model, _train(data), _test(data), "squared"))
 
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    pipe = models.gbt_regression_pipeline(CELL_X, CELL_Y, REPORT_GBT)
+    pipe = models.gbt_regression_pipeline(CELL_X, CELL_Y)
     key_hash = stable_hash(7, *CELL_KEYS)
     return rounded(models.learning_curve(spark, _train(data), pipe, CELL_Y, key_hash))
 
@@ -194,9 +199,7 @@ def q_learning_curve(spark, sf_dir):
 @register("param_grid")
 def q_param_grid(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    grid = {"max_depth": [3, 6], "learning_rate": [0.1, 0.3]}
-    return rounded(models.param_grid_search(spark, _train(data), CELL_X, CELL_Y, grid, folds=3,
-                                            base_params=REPORT_GBT))
+    return rounded(models.param_grid_search(spark, _train(data), _test(data), CELL_X, CELL_Y, **GRID))
 
 
 @register("feature_ablation")
@@ -205,7 +208,7 @@ def q_feature_ablation(spark, sf_dir):
     train, test = _train(data), _test(data)
 
     def r2(features):
-        model = models.gbt_regression_pipeline(features, CELL_Y, REPORT_GBT).fit(train)
+        model = models.gbt_regression_pipeline(features, CELL_Y).fit(train)
         m = metrics.regression_metrics(model.transform(test), CELL_Y, "prediction", with_median=False)
         return m.first()["r2"]
 

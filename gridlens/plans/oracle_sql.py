@@ -177,6 +177,16 @@ li_counts AS (
   FROM lineitem GROUP BY 1, 2
 )"""
 
+CTES["ev_z"] = """
+ev_counts AS (
+  SELECT CAST(floor(value / 10e0) AS BIGINT) AS x_bin, CAST(floor(CAST(user_id % 7 AS DOUBLE) / 1e0) AS BIGINT) AS y_bin,
+         count(*) AS toilet_count
+  FROM events GROUP BY 1, 2),
+ev_stats AS (SELECT avg(toilet_count) AS mean, stddev_samp(toilet_count) AS std FROM ev_counts),
+ev_z AS (
+  SELECT x_bin, y_bin, toilet_count, CASE WHEN std = 0 THEN NULL ELSE (toilet_count - mean) / std END AS z_score
+  FROM ev_counts CROSS JOIN ev_stats)"""
+
 CTES["li_z"] = """
 li_stats AS (
   SELECT COALESCE(avg(toilet_count), 0e0) AS mean, COALESCE(stddev_samp(toilet_count), 1e0) AS std
@@ -190,7 +200,7 @@ li_z AS (
 
 # dependencies between fragments (emitted in this order)
 _ORDER = ["raw_fac", "fac", "fac_density", "fac_cells", "fac_facility", "cell_rows",
-          "facility_rows", "cell_features", "facility_features", "li_counts", "li_z"]
+          "facility_rows", "cell_features", "facility_features", "li_counts", "li_z", "ev_z"]
 _DEPS = {
     "fac": ["raw_fac"],
     "fac_density": ["fac"],

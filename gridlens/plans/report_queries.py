@@ -196,17 +196,42 @@ def q_hash_split(spark, sf_dir):
     return split.hash_split(o, ["o_orderkey"])
 
 
+# orders with a status, some without one: NULL is a class of its own
+_STATUS_SQL = "SELECT o_orderkey, CASE WHEN o_custkey % 29 <> 0 THEN o_orderstatus END AS status FROM orders"
+
+
+def orders_with_status(spark, sf_dir):
+    o = tables.load(spark, sf_dir, "orders")
+    return o.select("o_orderkey", F.when(F.col("o_custkey") % 29 != 0, F.col("o_orderstatus")).alias("status"))
+
+
 @register(
     "stratified_split",
     f"""
-SELECT o_orderkey, o_orderstatus,
-       CASE WHEN row_number() OVER (PARTITION BY o_orderstatus ORDER BY {_h(42, 'o_orderkey')})
-                 <= ceil(count(*) OVER (PARTITION BY o_orderstatus) * 0.2e0) THEN 'test' ELSE 'train' END AS split
-FROM orders""",
+SELECT o_orderkey, status,
+       CASE WHEN row_number() OVER (PARTITION BY status ORDER BY {_h(42, 'o_orderkey')})
+                 <= ceil(count(*) OVER (PARTITION BY status) * 0.2e0) THEN 'test' ELSE 'train' END AS split
+FROM ({_STATUS_SQL}) o""",
 )
 def q_stratified_split(spark, sf_dir):
-    o = tables.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return split.stratified_split(o, ["o_orderkey"], "o_orderstatus").select("o_orderkey", "o_orderstatus", "split")
+    return split.stratified_split(orders_with_status(spark, sf_dir), ["o_orderkey"], "status")
+
+
+@register(
+    "stratified_nested_split",
+    f"""
+WITH o AS ({_STATUS_SQL}),
+first AS (
+  SELECT *, row_number() OVER (PARTITION BY status ORDER BY {_h(42, 'o_orderkey')})
+            <= ceil(count(*) OVER (PARTITION BY status) * 0.2e0) AS is_test FROM o),
+rest AS (
+  SELECT *, row_number() OVER (PARTITION BY status ORDER BY {_h(43, 'o_orderkey')})
+            <= ceil(count(*) OVER (PARTITION BY status) * 0.2e0) AS is_valid FROM first WHERE NOT is_test)
+SELECT o_orderkey, status, 'test' AS split FROM first WHERE is_test
+UNION ALL SELECT o_orderkey, status, CASE WHEN is_valid THEN 'valid' ELSE 'train' END FROM rest""",
+)
+def q_stratified_nested_split(spark, sf_dir):
+    return split.nested_split(orders_with_status(spark, sf_dir), ["o_orderkey"], stratify="status")
 
 
 @register(
@@ -237,14 +262,15 @@ def q_group_split(spark, sf_dir):
 
 @register(
     "class_weights",
-    """
-SELECT o_orderkey, o_orderstatus,
-       RND(count(*) OVER () / ((SELECT count(DISTINCT o_orderstatus) FROM orders) * count(*) OVER (PARTITION BY o_orderstatus))) AS weight
-FROM orders""",
+    f"""
+SELECT o_orderkey, status,
+       RND(CASE WHEN status IS NULL THEN 0e0
+                ELSE count(status) OVER () / ((SELECT count(DISTINCT status) FROM ({_STATUS_SQL}) x)
+                                              * count(*) OVER (PARTITION BY status)) END) AS weight
+FROM ({_STATUS_SQL}) o""",
 )
 def q_class_weights(spark, sf_dir):
-    o = tables.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return rounded(split.class_weights(o, "o_orderstatus"))
+    return rounded(split.class_weights(orders_with_status(spark, sf_dir), "status"))
 
 
 @register(

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridlens.operators import clean, density, report, upsert
+from gridlens.operators import clean, density, normalize, report, upsert
 from gridlens.plans.facility_queries import facilities
 from gridlens.plans.oracle_sql import with_ctes
 from gridlens.plans.registry import register, rounded
+from gridlens.session import materialize
 from gridlens.sources import bindings, tables
 
 # Orders landed in two overlapping loads: the current table holds orders
@@ -206,8 +207,9 @@ UNION ALL SELECT 'grid_cells', count(*) FROM (SELECT DISTINCT floor("Latitude" /
 UNION ALL SELECT 'suburbs', count(*) FROM (SELECT DISTINCT "Suburb", "Postcode" FROM fac_density) t"""),
 )
 def q_stage_counts(spark, sf_dir):
-    raw = tables.facility_raw(spark, sf_dir)
-    fac = facilities(spark, sf_dir)
+    # the raw rows are read once; every stage counts from that copy
+    raw = materialize(tables.facility_raw(spark, sf_dir))
+    fac = normalize.normalize_facilities(raw)
     dens = density.density_features(clean.clean(fac, "density"))
     return report.stage_counts(
         {

@@ -102,6 +102,13 @@ def part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as 2-D points: x = value, y = weekday-like class of the user (a long-tailed density with dense cells)."""
+    ev = load(spark, sf_dir, "events")
+    return ev.select(F.col("value").alias("x"), F.pmod(F.col("user_id"), F.lit(7)).cast("double").alias("y"))
+
+
 # Cell sizes for the point bindings (x size, y size).
+EVENT_CELL = (10.0, 1.0)
 LINEITEM_CELL = (1000.0, 5.0)
 PART_CELL = (10.0, 5.0)

@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridlens.functions import columns as C
@@ -191,3 +192,88 @@ def test_pretty_printed_page_files(spark, tmp_path):
     schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("Name", T.StringType())])
     got = sorted(map(tuple, io.read_pages(spark, str(tmp_path), schema, multi_line=True).collect()))
     assert got == [("1", "a"), ("2", "b"), ("3", None)]
+
+
+def test_hash_split_takes_any_fraction(spark):
+    from gridlens.operators.split import hash_split
+
+    df = spark.range(200_000)
+    for fraction in (0.005, 0.125):
+        n = hash_split(df, ["id"], fraction).filter("split = 'test'").count()
+        assert abs(n - 200_000 * fraction) < 5 * (200_000 * fraction) ** 0.5
+
+
+def test_splits_keep_rows_without_a_class(spark):
+    from gridlens.operators.split import class_weights, nested_split, stratified_split
+
+    df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(10)], "id int, c string")
+    out = stratified_split(df, ["id"], "c", 0.4).collect()
+    assert len(out) == 10
+    assert sorted((str(r["c"]), r["split"]) for r in out) == sorted([("a", "test")] * 2 + [("a", "train")] * 3 + [("None", "test")] * 2 + [("None", "train")] * 3)
+    assert nested_split(df, ["id"], 0.4, 0.4, stratify="c").count() == 10
+    assert stratified_split(df, ["id"], "c", 1.0).filter("split = 'test'").count() == 10
+    assert stratified_split(df, ["id"], "c", 0.0).filter("split = 'test'").count() == 0
+    weights = {(r["c"], r["weight"]) for r in class_weights(df, "c").collect()}
+    assert weights == {("a", 1.0), (None, 0.0)}
+
+
+def test_fingerprint_tells_close_values_apart(spark):
+    from gridlens.operators.report import data_fingerprint
+
+    def fp(rows, schema):
+        return data_fingerprint(spark.createDataFrame(rows, schema)).first()["fingerprint"]
+
+    numbers = [1e13, 2e13, 9e15, float("inf"), float("-inf"), float("nan"), 1.0, 1.0000001, 0.0, None]
+    assert len({fp([(x,)], "x double") for x in numbers}) == len(numbers)
+    texts = [("x|y", "z"), ("x", "y|z"), ("", None), (None, ""), (None, None), ("", ""), ("-", "")]
+    assert len({fp([t], "a string, b string") for t in texts}) == len(texts)
+
+
+def test_stable_hash_gives_null_a_place(spark):
+    from gridlens.functions.columns import stable_hash
+
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a"), (None, None)], "x string, y string")
+    assert df.select(stable_hash(1, "x", "y").alias("h")).distinct().count() == 4
+
+
+def test_wide_counts_and_bins(spark):
+    from gridlens.functions.columns import clip_round_count
+    from gridlens.operators.models import frequency_index
+
+    assert spark.sql("SELECT 3e9D AS x").select(clip_round_count(F.col("x"))).first()[0] == 3_000_000_000
+    df = spark.createDataFrame([(0, 2**32), (1, 0), (0, 2**32), (-(2**40), 5)], "lat_bin long, lon_bin long")
+    got = {(r["lat_bin"], r["lon_bin"]): r["cell_index"] for r in frequency_index(df).collect()}
+    assert got == {(0, 2**32): 0.0, (-(2**40), 5): 1.0, (1, 0): 2.0}
+
+
+def test_metrics_leave_out_missing_labels_and_scores(spark):
+    from gridlens.operators.metrics import auc_scores, classification_metrics, regression_metrics
+
+    reg = spark.createDataFrame([(0.0, 1.0), (None, 1.0), (2.0, 1.5)], "y double, p double")
+    row = regression_metrics(reg, "y", "p").first()
+    assert row["n"] == 2 and abs(row["r2"] - 0.375) < 1e-12
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (None, 0.5), (1, float("nan"))], "y int, s double")
+    assert auc_scores(scored, "y", "s").first()["roc_auc"] == 1.0
+    cls = spark.createDataFrame([(1, 1), (0, None), (None, 1), (0, 0)], "y int, p int")
+    assert classification_metrics(cls, "y", "p").first()["n"] == 2
+
+
+def test_histogram_counts_what_has_no_bin_apart(spark):
+    from gridlens.operators.report import class_balance, histogram
+
+    df = spark.createDataFrame([(float(x),) for x in range(11)] + [(float("nan"),), (float("inf"),), (None,)], "x double")
+    rows = histogram(df, "x", 5).orderBy("bin").collect()
+    assert [r["n"] for r in rows] == [2, 2, 2, 2, 3] and {r["n_other"] for r in rows} == {3}
+    labels = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "c string")
+    assert {(r["c"], r["n"], r["n_classes"]) for r in class_balance(labels, "c").collect()} == {("a", 2, 2), ("b", 1, 2)}
+
+
+def test_checkpoint_folder_must_be_shared_off_local_mode():
+    from types import SimpleNamespace
+
+    from gridlens.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://somewhere:7077")
+    with pytest.raises(RuntimeError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc))

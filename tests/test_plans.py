@@ -34,3 +34,16 @@ def test_scan_reads_only_used_columns(spark):
 def test_date_filters_reach_the_scan(spark):
     plan = plan_of(E.queries()["upsert_latest"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
+
+
+@pytest.mark.parametrize("name", ["cell_features", "facility_features", "regression_metrics", "stratified_split", "feature_statistics"])
+def test_rows_are_deduplicated_and_aggregated_before_they_are_read_again(spark, name):
+    plan = plan_of(E.queries()[name](spark, SF))
+    assert "WindowGroupLimit" not in plan  # the dedupe lies behind a cut
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_cell_rollups_read_one_stored_aggregate(spark):
+    plan = plan_of(E.queries()["cell_features"](spark, SF))
+    assert "distance_to_center" not in plan.split("Scan ExistingRDD")[1].split("]")[0]
+    assert "customer" not in plan
