@@ -102,21 +102,19 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], group_cols: S
     that holds each wanted rank, then exact ranks inside these stretches only."""
     keys = list(group_cols)
     ahead = _ahead(counts, keys, ["_n"]).withColumnsRenamed({"_t__n": "_t", "_o__n": "_o"})
-    sizes = ahead.groupBy(*keys).agg(F.sum("_t").alias("_total"))
-    # rows per group: stretches x probabilities x 2, cut to the stretch that holds the rank
+    # one row per group, with its stretches (as many as partitions at most)
+    per_group = ahead.groupBy(*keys).agg(
+        F.sum("_t").alias("_total"), F.collect_list(F.struct("_part", "_o", "_t")).alias("_spots"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    ranks = sizes.select(*keys, wanted.alias("p"), "_total").withColumn("_h", (F.col("_total") - 1) * F.col("p"))
+    ranks = per_group.select(*keys, wanted.alias("p"), "_spots", "_total").withColumn("_h", (F.col("_total") - 1) * F.col("p"))
     low_high = F.array(
         F.struct(F.lit("lo").alias("which"), F.floor("_h").alias("r")),
         F.struct(F.lit("hi").alias("which"), F.ceil("_h").alias("r")),
     )
-    ranks = ranks.select(*keys, "p", "_h", F.explode(low_high).alias("t")).select(*keys, "p", "_h", "t.which", "t.r")
-    # an equality to join on even without groups (a literal would be folded away)
-    ranks = ranks.withColumn("_one", F.col("r") * 0)
-    spots = ahead.withColumn("_one", F.col("_part").cast("long") * 0)
-    hit = join_null_safe(ranks, spots, [*keys, "_one"]).filter(
-        (F.col("_o") <= F.col("r")) & (F.col("r") < F.col("_o") + F.col("_t"))
-    ).select(*keys, "_part", "p", "_h", "which", "r", "_o")
+    ranks = ranks.select(*keys, "p", "_h", "_spots", F.explode(low_high).alias("t")).select(*keys, "p", "_h", "_spots", "t.which", "t.r")
+    spot = F.filter("_spots", lambda s: (s["_o"] <= F.col("r")) & (F.col("r") < s["_o"] + s["_t"]))
+    hit = ranks.withColumn("_spot", F.element_at(spot, 1)).select(
+        *keys, F.col("_spot._part").alias("_part"), "p", "_h", "which", "r", F.col("_spot._o").alias("_o"))
     inside = join_null_safe(counts, hit.select(*keys, "_part").distinct(), [*keys, "_part"], "left_semi")
     upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("_c", F.sum("_n").over(upto))
