@@ -212,7 +212,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = src.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("data"))
     anchors = stored(_scan(src, src.schema["doc_id"].dataType.simpleString()), "anchors")
     keys = anchors.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("n > 1")
-    found = stored(anchors.join(keys.select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "key"), "candidates")
+    # stored, so that the join has an exchange on either side and a hot anchor's rows can be split
+    keys = stored(keys.select("key", (F.col("lo") != F.col("hi")).alias("mixed")), "keys")
+    found = stored(anchors.join(keys, "key"), "candidates")
 
     same = [F.col("doc_id").eqNullSafe(F.col("_id")), F.col("t") == F.col("_t")]
     # texts are dealt out by hash at any size, never by a broadcast of what grows with them
