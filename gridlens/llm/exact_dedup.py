@@ -100,8 +100,9 @@ def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, id_col: str = "doc
     if bad.limit(1).count():
         raise ValueError("different texts share a SHA-256 digest")
     order = F.struct(F.col("doc_id").alias("id"), "part", "rid")
-    per = rows.join(positive, "sha", "left_semi").groupBy("sha").agg(F.max(order).alias("keep"), F.count("*").alias("group_size"))
-    per = stored(per, "groups")
+    # groups first: the rows of a hot digest are combined before they are dealt out
+    per = rows.groupBy("sha").agg(F.max(order).alias("keep"), F.count("*").alias("group_size"))
+    per = stored(per.join(positive, "sha", "left_semi"), "groups")
     joined = rows.join(per, "sha", "left")
     kept = F.col("keep").isNull() | ((F.col("part") == F.col("keep.part")) & (F.col("rid") == F.col("keep.rid")))
     return joined.select(
