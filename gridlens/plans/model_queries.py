@@ -1,7 +1,8 @@
 """Driver queries: pyspark.ml training, scoring and model reports.
 
-These have no SQL oracle (model fitting is not SQL-expressible); the driver
-records a rows-only check and the unit tests check bounds and invariants.
+Model values have no SQL oracle (fitting is not SQL-expressible): the driver
+records a rows-only check, and the unit tests check bounds, invariants and that
+models beat the majority and mean baselines.
 Inputs are the cell / facility feature tables derived from the test data, so
 the training work grows with the data.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from gridlens.functions.columns import stable_hash
 from gridlens.operators import datasets, metrics, models, report, split
 from gridlens.plans.facility_queries import cell_rows, facility_rows
+from gridlens.plans.oracle_sql import with_ctes
 from gridlens.plans.registry import register, rounded
 from gridlens.session import materialize
 
@@ -174,6 +176,18 @@ def q_score_saved_model(spark, sf_dir):
     return gaps.withColumns({"model_version": F.lit("gbt_regressor"), "run_id": F.lit(run_id)})
 
 
+@register(
+    "score_saved_model_actuals",
+    with_ctes(["cell_features"], "SELECT lat_bin, lon_bin, CAST(toilet_count AS BIGINT) AS actual_count, "
+                                 "true AS gap_is_the_difference FROM cell_features"),
+)
+def q_score_saved_model_actuals(spark, sf_dir):
+    # what does not depend on the model: every cell is scored once, beside its own count
+    gaps = q_score_saved_model(spark, sf_dir)
+    same = F.col("gap") == F.col("predicted_count") - F.col("actual_count")
+    return gaps.select("lat_bin", "lon_bin", "actual_count", same.alias("gap_is_the_difference"))
+
+
 @register("feature_importance")
 def q_feature_importance(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)

@@ -44,3 +44,60 @@ def test_merge_params():
 
     p = merge_params(GBT_CLASSIFIER_DEFAULTS, {"max_depth": 3})
     assert p["max_depth"] == 3 and p["n_estimators"] == 200
+
+
+LARGER = "/root/testdata/sf0.01"
+
+
+def test_classifiers_beat_the_majority(spark):
+    from pyspark.sql import functions as F
+
+    from gridlens.plans.model_queries import FAC_Y, _test, facility_model_data
+
+    test = _test(facility_model_data(spark, LARGER))
+    share = test.agg(F.avg(F.col(FAC_Y).cast("double"))).first()[0]
+    row = E.queries()["logreg_baseline_metrics"](spark, LARGER).first()
+    assert row["accuracy"] > max(share, 1 - share) + 0.05 and row["roc_auc"] > 0.7
+
+
+def test_boosted_regression_beats_the_mean_and_its_curve_falls(spark, tmp_path):
+    from gridlens.operators import metrics, models
+    from gridlens.plans.model_queries import CELL_X, CELL_Y, _test, _train, cell_model_data
+
+    data = cell_model_data(spark, LARGER)
+    pipe = models.gbt_regression_pipeline(CELL_X, CELL_Y, {"n_estimators": 8, "max_depth": 4})
+    model = models.fit_cached(pipe, _train(data), str(tmp_path), "r")
+    assert metrics.regression_metrics(model.transform(_train(data)), CELL_Y, "prediction").first()["r2"] > 0.3
+    curve = models.iteration_curve(spark, model, _train(data), _test(data), "squared").orderBy("iteration").collect()
+    assert len(curve) == 8 and curve[-1]["train_loss"] < curve[0]["train_loss"]
+
+
+def test_grid_counts_are_beginnings_of_one_model(spark):
+    from gridlens.operators import metrics, models
+    from gridlens.plans.model_queries import CELL_X, CELL_Y, _test, _train, cell_model_data
+
+    data = cell_model_data(spark, LARGER)
+    rows = models.param_grid_search(spark, _train(data), _test(data), CELL_X, CELL_Y, [2], [0.1], [2, 4]).collect()
+    assert [(r["max_depth"], r["n_estimators"]) for r in rows] == [(2, 2), (2, 4)]
+    alone = models.gbt_regression_pipeline(CELL_X, CELL_Y, {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.1}).fit(_train(data))
+    want = metrics.regression_metrics(alone.transform(_test(data)), CELL_Y, "prediction").first()
+    assert abs(rows[0]["rmse"] - want["rmse"]) < 1e-9 and abs(rows[0]["r2"] - want["r2"]) < 1e-9
+
+
+def test_run_id_changes_with_any_parameter():
+    from gridlens.operators.models import gbt_regression_pipeline, pipeline_params
+
+    a, b = (gbt_regression_pipeline(["x"], "y", {"n_estimators": n}) for n in (3, 4))
+    assert pipeline_params(a) != pipeline_params(b)
+    assert pipeline_params(a) == pipeline_params(gbt_regression_pipeline(["x"], "y", {"n_estimators": 3}))
+
+
+def test_a_saved_model_that_cannot_be_read_raises(spark, tmp_path):
+    from gridlens.operators import models
+
+    data = spark.createDataFrame([(float(i), float(i % 3)) for i in range(20)], "x double, y double")
+    pipe = models.gbt_regression_pipeline(["x"], "y", {"n_estimators": 1, "max_depth": 1})
+    models.fit_cached(pipe, data, str(tmp_path), "r")
+    (tmp_path / "r").rename(tmp_path / "away")
+    with pytest.raises(Exception):
+        models.fit_cached(pipe, data, str(tmp_path), "r")
