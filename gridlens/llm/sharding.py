@@ -18,6 +18,8 @@ from gridlens.llm.common import stored, text_or_empty
 
 # Rows that a lane, or a cell of a shard, holds on average.
 LANE_ROWS = 100_000
+# numpy's hypergeometric law takes populations below this.
+NUMPY_LIMIT = 900_000_000
 
 
 def shard_sizes(rows: int, shards: int) -> list[int]:
@@ -34,7 +36,6 @@ def draw_matrix(lanes: list[int], sizes: list[int], seed: int) -> list[list[int]
         need, rest = n, int(left.sum())
         for j, have in enumerate(left.tolist()):
             rest -= have
-            # numpy's univariate law takes less than 10^9 on either side; larger lanes would need LANE_ROWS lowered
             row[j] = _univariate(rng, have, rest, need)
             need -= int(row[j])
         out.append(row.tolist())
@@ -43,19 +44,21 @@ def draw_matrix(lanes: list[int], sizes: list[int], seed: int) -> list[list[int]
 
 
 def _univariate(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """Good ones among ``draws`` out of good + bad, in steps that the generator's law covers."""
-    top, got = 900_000_000, 0
+    """How many good ones are among ``draws`` out of good + bad."""
     if draws == 0 or good == 0:
         return 0
-    if good < top and bad < top:
+    if good + bad < NUMPY_LIMIT:
         return int(rng.hypergeometric(good, bad, draws))
-    # one at a time, exact for any size: a lane is small beside the whole
-    for _ in range(draws):
-        if rng.integers(good + bad) < good:
-            good, got = good - 1, got + 1
-        else:
-            bad -= 1
-    return got
+    # the weights around the mode, by the ratio of neighbours, as far as a double can tell them from none
+    low, high = max(0, draws - bad), min(draws, good)
+    mode = min(high, max(low, (draws + 1) * (good + 1) // (good + bad + 2)))
+    share = good / (good + bad)
+    reach = int(13 * (draws * share * (1 - share)) ** 0.5) + 40
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1, dtype=np.float64)
+    steps = np.log((good - k[:-1]) * (draws - k[:-1])) - np.log((k[:-1] + 1) * (bad - draws + k[:-1] + 1))
+    weight = np.cumsum(np.append(0.0, steps))
+    upto = np.cumsum(np.exp(weight - weight.max()))
+    return int(k[np.searchsorted(upto, rng.random() * upto[-1], "right")])
 
 
 def _hash(seed: int, salt: int, *cols: str) -> Column:

@@ -93,6 +93,17 @@ def test_matrix_has_its_margins_and_its_law():
     assert np.abs(draws.mean(0) - mean).max() < 0.15 and np.abs(draws.var(0) - spread).max() < 0.3
 
 
+def test_large_populations_follow_the_same_law(monkeypatch):
+    rng = np.random.default_rng(5)
+    big = [sharding._univariate(rng, 4 * 10**9, 90 * 10**9, 1000) for _ in range(4000)]
+    assert abs(np.mean(big) - 1000 * 4 / 94) < 0.4 and abs(np.var(big) - 1000 * 4 / 94 * 90 / 94) < 4
+    monkeypatch.setattr(sharding, "NUMPY_LIMIT", 0)
+    draws = np.array([[sharding._univariate(rng, 8, 22, 17), sharding._univariate(rng, 22, 8, 17)] for _ in range(8000)])
+    assert draws[:, 0].min() >= 0 and draws[:, 0].max() <= 8 and draws[:, 1].min() >= 9
+    assert abs(draws[:, 0].mean() - 17 * 8 / 30) < 0.06
+    assert abs(draws[:, 0].var() - 17 * 8 / 30 * 22 / 30 * 13 / 29) < 0.08
+
+
 def test_shards_stay_native(spark):
     plan = sharding.query(table(spark))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
