@@ -18,6 +18,8 @@ from gridlens.llm.common import stored, text_or_empty
 
 # Rows that a lane, or a cell of a shard, holds on average.
 LANE_ROWS = 100_000
+# Copies of one row that are made in one place.
+BLOCK = 65_536
 # numpy's hypergeometric law takes populations below this.
 NUMPY_LIMIT = 900_000_000
 
@@ -65,6 +67,20 @@ def _hash(seed: int, salt: int, *cols: str) -> Column:
     return F.xxhash64(F.lit(seed), F.lit(salt), *cols)
 
 
+def _numbered(rows: DataFrame, alike: list[str]) -> DataFrame:
+    """The rows with ``copy`` telling those that are alike apart, so that many copies spread like other rows.
+
+    Copies are counted (combined before the shuffle) and made again in blocks of
+    bounded size, dealt out before they are unrolled.
+    """
+    counted = rows.groupBy(*alike).agg(F.count("*").alias("n"))
+    blocks = counted.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {BLOCK})")).alias("block"))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(n, *alike, "block")
+    last = f"least(n, (block + 1) * {BLOCK}) - 1"
+    return dealt.select(*alike, F.explode(F.expr(f"sequence(block * {BLOCK}, {last})")).alias("copy"))
+
+
 def _placed(rows: DataFrame, by: list[str], group: str) -> DataFrame:
     """``pos``: place in the order (cell, hash) within each ``group``, gapless from 0, whatever its size."""
     counts = rows.groupBy(group, "cell").agg(F.count("*").alias("n"))
@@ -80,7 +96,7 @@ def uniform_shards(docs: DataFrame, shards: int, seed: int = 7, id_col: str = "d
 
     A null text has no bytes, like the empty text.  Rows with null or repeated
     ids are dealt like any others; rows alike in id and text are
-    interchangeable.  Shards may be empty when there are fewer rows than shards.
+    numbered and spread like any others.  Shards may be empty when there are fewer rows than shards.
     Other columns are ignored.
     """
     base = docs.select(
@@ -88,10 +104,11 @@ def uniform_shards(docs: DataFrame, shards: int, seed: int = 7, id_col: str = "d
         (F.octet_length(text_or_empty(text_col)) + F.lit(8)).cast("long").alias("size"),
         F.crc32(text_or_empty(text_col).cast("binary")).alias("text_crc32"),
     )
-    base = stored(base, "rows")
+    alike = ["doc_id", "text_crc32", "size"]
+    base = stored(_numbered(base, alike), "rows")
     total = base.count()
     lanes = max(1, -(-total // LANE_ROWS))
-    tie = ["doc_id", "text_crc32", "size"]
+    tie = [*alike, "copy"]
     laned = base.withColumn("lane", F.pmod(_hash(seed, 1, *tie), F.lit(lanes)).cast("int"))
     have = {r["lane"]: r["n"] for r in laned.groupBy("lane").agg(F.count("*").alias("n")).collect()}
     filled = sorted(have)

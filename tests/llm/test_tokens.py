@@ -69,7 +69,8 @@ def test_sentencepiece_equals_the_library(spark):
 @pytest.mark.parametrize("lane_rows", [100_000, 7])
 def test_shards_are_exact_and_gapless(spark, monkeypatch, lane_rows):
     monkeypatch.setattr(sharding, "LANE_ROWS", lane_rows)
-    docs = table(spark)
+    monkeypatch.setattr(sharding, "BLOCK", 10)
+    docs = table(spark, pairs(table(spark)) + [(77, "one row many times")] * 45)
     rows = sharding.query(docs).collect()
     assert len(rows) == docs.count()
     sizes = Counter(r["shard"] for r in rows)
