@@ -33,24 +33,31 @@ MARK, STOP = b"\xff", b"\xfe"
 INDEX_BYTES = 1_000_000
 # Words that a worker remembers before it starts anew.
 REMEMBERED = 400_000
+# Longer words are relaxed one at a time.
+LONG_WORD = 200
 # Pieces whose fitting pairs are kept in one square table.
 TABLE = 8192
 
 
 class Pairs:
-    """Which pieces may follow which, in a square table over the pieces met so far; filled when first asked."""
+    """Which pieces may follow which: a square table over the pieces met so far, filled when first asked.
+
+    ``places`` gives the pieces' places in the table.  Text with more different
+    pieces than the table holds asks by the pieces themselves instead.
+    """
 
     def __init__(self, fits) -> None:
-        self.fits, self.place, self.pieces = fits, {}, []
+        self.fits, self.place, self.pieces, self.wide = fits, {}, [], False
         self.known = np.full((TABLE, TABLE), -1, np.int8)
+        self.one = lru_cache(maxsize=REMEMBERED)(fits)
 
     def places(self, tokens: np.ndarray) -> np.ndarray:
-        """The table's places of these pieces; the table starts anew where it would overflow."""
         distinct, back = np.unique(tokens, return_inverse=True)
-        if len(distinct) > TABLE:
-            raise OverflowError("more different pieces than the table holds")
+        self.wide = len(distinct) > TABLE
+        if self.wide:
+            return tokens.astype(np.int32)
         new = [t for t in distinct.tolist() if t not in self.place]
-        if len(self.pieces) + len(new) > TABLE:
+        if len(self.pieces) + len(new) > TABLE:  # start anew
             self.place, self.pieces, new = {}, [], distinct.tolist()
             self.known.fill(-1)
         for t in new:
@@ -59,6 +66,9 @@ class Pairs:
         return np.array([self.place[t] for t in distinct.tolist()], np.int32)[back]
 
     def ask(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """For places from the last call of ``places``: whether the right one may follow the left one."""
+        if self.wide:
+            return np.array([self.one(x, y) for x, y in zip(left.tolist(), right.tolist())], bool)
         out = self.known[left, right]
         missing = np.flatnonzero(out < 0)
         if len(missing):
@@ -127,17 +137,29 @@ class Codec:
 
         A word is one space mark and what follows up to the next.
         """
+        long = [i for i, w in enumerate(words) if len(w) > LONG_WORD]
+        if long:
+            ids = [np.empty(0, np.int32)] * len(words)
+            for relax, part in ((self._relax, sorted(set(range(len(words))) - set(long))), (self._relax_long, long)):
+                flat, size = self._blocks([words[i] for i in part], relax)
+                for i, own in zip(part, np.split(flat, np.cumsum(size)[:-1])):
+                    ids[i] = own
+            return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+        return self._blocks(words, self._relax)
+
+    def _blocks(self, words: list[str], relax) -> tuple[np.ndarray, np.ndarray]:
         parts, start, size = [], 0, 0
         for i, w in enumerate(words):
             size += len(w.encode()) + 1
             if size > INDEX_BYTES or i == len(words) - 1:
-                parts.append(self._indexed(words[start : i + 1]))
+                parts.append(relax(*self._indexed(words[start : i + 1])))
                 start, size = i + 1, 0
         if not parts:
             return np.empty(0, np.int32), np.empty(0, np.int64)
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
-    def _indexed(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _indexed(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """The lattice of the words: where each ends, and the edges (source, target, piece) by position, the longest first."""
         blob = MARK + (STOP + MARK).join(w[1:].encode() for w in words) + STOP
         data = np.frombuffer(blob, np.uint8)
         order, first = suffix_array(data, int(self.patterns.size.max()))
@@ -157,7 +179,31 @@ class Codec:
         source = np.concatenate([source, bare])
         target = np.concatenate([target, bare + 1])
         token = np.concatenate([self.searched[which], np.array(self.byte_id)[data[bare]]]).astype(np.int64)
-        return self._relax(np.flatnonzero(data == STOP[0]), source, target, token)
+        order = np.argsort((target << 8) | (source - target + 255))
+        return np.flatnonzero(data == STOP[0]), source[order], target[order], token[order]
+
+    def _relax_long(self, stops: np.ndarray, source: np.ndarray, target: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_relax``, edge by edge: few long words give little to do side by side."""
+        n = int(stops[-1]) + 1
+        last, back = [-1] * n, [-1] * n
+        begins = {0, *(stops[:-1] + 1).tolist()}
+        fits = self.pairs.one
+        for s, e, t in zip(source.tolist(), target.tolist(), token.tolist()):
+            if back[e] < 0 and (s in begins or (back[s] >= 0 and fits(last[s], t))):
+                last[e], back[e] = t, s
+        out, sizes = [], []
+        for at in stops.tolist():
+            if back[at] < 0:
+                raise ValueError("a word has no encoding")
+            ids = []
+            while True:
+                ids.append(last[at])
+                at = back[at]
+                if at in begins:
+                    break
+            out += reversed(ids)
+            sizes.append(len(ids))
+        return np.array(out, np.int32), np.array(sizes, np.int64)
 
     def _relax(self, stops: np.ndarray, source: np.ndarray, target: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Keep at each place the edge that fits the edge kept where it begins; then read the words backwards.
@@ -166,8 +212,6 @@ class Codec:
         together by length; all words of the batch are relaxed side by side.
         """
         begins = np.append(0, stops[:-1] + 1)
-        order = np.argsort((target << 8) | (source - target + 255))  # by position, the longest first
-        source, target, token = source[order], target[order], token[order]
         fresh = np.append(True, target[1:] != target[:-1])
         turn = np.arange(len(target)) - np.maximum.accumulate(np.where(fresh, np.arange(len(target)), 0))
         within = target - begins[np.searchsorted(stops, target)]

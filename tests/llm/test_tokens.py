@@ -66,6 +66,19 @@ def test_sentencepiece_equals_the_library(spark):
     assert "ids" in sp_codec.encoded(docs).columns and sp_codec.encoded(docs).columns.count("ids") == 1
 
 
+@pytest.mark.parametrize("table_size", [8192, 40])
+def test_long_words_and_many_pieces(monkeypatch, table_size):
+    monkeypatch.setattr(sp_codec, "TABLE", table_size)
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(sp_codec.MODEL))
+    own = sp_codec.Codec(public_tokenizers.path(sp_codec.MODEL))
+    rng = random.Random(9)
+    letters = [chr(c) for c in (*range(97, 123), *range(0x4E00, 0x4E40), 0x1F642, 0xE9, 0x7F)]
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for n in (150, 199, 200, 201, 5000, 40_000)] + ["x" * 3000, "a b " + "thing" * 500, ""]
+    ids, bounds = own.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == lib.encode(texts)
+    assert own.decode(ids, bounds) == texts
+
+
 @pytest.mark.parametrize("lane_rows", [100_000, 7])
 def test_shards_are_exact_and_gapless(spark, monkeypatch, lane_rows):
     monkeypatch.setattr(sharding, "LANE_ROWS", lane_rows)
