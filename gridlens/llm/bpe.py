@@ -13,6 +13,8 @@ import json
 from collections.abc import Callable
 
 END = "</w>"
+# Pairs of tokens whose fit is remembered before the memory starts anew.
+REMEMBERED = 300_000
 
 
 class Merges:
@@ -63,7 +65,7 @@ class Merges:
         """True if the text of ``a + b`` encodes to these two tokens (both encode to themselves)."""
         known = self._fits.get((a, b))
         if known is None:
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > REMEMBERED:
                 self._fits.clear()
             known = self._fits[a, b] = self._apart(self.edges(a)[1], self.edges(b)[0])
         return known

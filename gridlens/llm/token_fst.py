@@ -33,7 +33,9 @@ LIMIT = 2048
 # Characters in a chunk of a text.
 CHUNK = 65_536
 # Word counts that are remembered in a worker before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+# States that are kept between words; beyond these the transducer is compiled anew.
+STATES = 250_000
 # Fixed values of this tokenizer kind: its word pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 _WORDS = regex.compile(WORD)
@@ -50,7 +52,10 @@ class Transducer:
         self.inner = inner
         self.final = {t.removesuffix(END) for t in vocab if t.endswith(END)}
         self.letters = byte_characters()
-        # state 0: nothing read.  A state: (suffix, last token and relative count at each of its positions)
+        self._restart()
+
+    def _restart(self) -> None:
+        """State 0: nothing read.  A state: (suffix, last token and relative count at each of its positions)."""
         self.states: list[tuple] = [("", ((None, 0),))]
         self.known: dict[tuple, int] = {self.states[0]: 0}
         self.arcs: list[dict[int, tuple[int, int]]] = [{}]
@@ -90,6 +95,8 @@ class Transducer:
         raise ValueError(f"no token ends a word after {suffix!r}")
 
     def count(self, word: str) -> int:
+        if len(self.states) > STATES:
+            self._restart()
         state, total, arcs = 0, 0, self.arcs
         for byte in word.encode("utf-8"):
             arc = arcs[state].get(byte)

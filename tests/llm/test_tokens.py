@@ -41,6 +41,15 @@ def test_token_counts_equal_the_library(spark):
     assert token_fst.query(empty(spark)).count() == 0
 
 
+def test_counts_do_not_depend_on_what_is_kept(monkeypatch):
+    lib = Tokenizer.from_file(public_tokenizers.path(token_fst.TOKENIZER))
+    monkeypatch.setattr(token_fst, "STATES", 30)
+    monkeypatch.setattr(token_fst, "REMEMBERED", 20)
+    t = token_fst.Tokenizer(public_tokenizers.path(token_fst.TOKENIZER))
+    for s in [*strings(300, 7), "thing" * 400, "中" * 500]:
+        assert t.count(s) == len(lib.encode(s, add_special_tokens=False).ids)
+
+
 def test_chunk_maps_compose_to_the_whole():
     t = token_fst.tokenizer(public_tokenizers.path(token_fst.TOKENIZER))
     for s in strings(400, 2):
