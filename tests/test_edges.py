@@ -277,3 +277,10 @@ def test_checkpoint_folder_must_be_shared_off_local_mode():
     sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master="spark://somewhere:7077")
     with pytest.raises(RuntimeError):
         checkpoint_root(SimpleNamespace(sparkContext=sc))
+
+
+def test_single_line_csv_is_read_without_multi_line(spark, tmp_path):
+    df = raw(spark, [(str(i), f'a "quoted", {i}') for i in range(20)], ["_id", "Name"])
+    io.write_csv(df, f"{tmp_path}/csv")
+    both = [sorted(map(tuple, io.read_csv(spark, f"{tmp_path}/csv", multi_line=m).collect())) for m in (True, False)]
+    assert both[0] == both[1] and len(both[0]) == 20
