@@ -190,7 +190,10 @@ def _steps(around: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray,
 def started(src: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """The network after a few rounds over a bounded sample of texts, in the order of a hash."""
     rows = src.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select(F.xxhash64("text").alias("h"), "text")
-    texts = [r["text"] for r in rows.orderBy("h", "text").limit(SAMPLE_ROWS).collect()]
+    # the least hashes first: only the chosen texts come to the driver, not some of every task
+    least = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS).collect()]
+    chosen = rows.where(F.col("h") <= F.lit(least[-1])).dropDuplicates(["h"]).collect() if least else []
+    texts = [r["text"] for r in sorted(chosen, key=lambda r: r["h"])]
     net = Network()
     around, target, _ = windows(Ids(vocab.words), texts)
     for _ in range(SAMPLE_ROUNDS):
