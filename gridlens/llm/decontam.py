@@ -5,13 +5,16 @@ Cut into ``k + 1`` pieces, one piece of it must occur unchanged.  All pieces of
 a block of items are found in one pass by an Aho-Corasick automaton.  Around each
 hit, Myers' bit-parallel algorithm computes the least edit distance between ever
 larger parts of the item, to the whole of it, and any part of the window; a part
-that is over its share of the budget ends the check.
+that is over its share of the budget ends the check.  Short items have no budget:
+they are one piece, found where they stand unchanged between word borders.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import category
 
 import ahocorasick
 import pyarrow as pa
@@ -22,10 +25,12 @@ from gridlens.llm.common import prepare, stored, text_or_empty
 
 # Edits allowed, as a share of the item's length.
 ERROR_RATE = 0.1
-# Shorter items say nothing about where a text is from and are not searched for.
-MIN_CHARS = 20
+# Shorter items must occur unchanged, and not as a part of longer words.
+SHORT_CHARS = 20
 # Characters of items that are broadcast at once; more items take more passes.
 BLOCK_CHARS = 400_000
+# Scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana, Han; every place in them is a border.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def normalise(text: str | None) -> str:
@@ -34,7 +39,16 @@ def normalise(text: str | None) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(len(item) * rate)
+    return int(len(item) * rate) if len(item) >= SHORT_CHARS else 0
+
+
+def in_word(c: str) -> bool:
+    return (c.isalnum() or c == "_" or category(c)[0] == "M") and not _UNSPACED.match(c)
+
+
+def at_borders(text: str, start: int, end: int) -> bool:
+    """Whether ``text[start:end]`` begins and ends at a word border."""
+    return not any(0 < i < len(text) and in_word(text[i - 1]) and in_word(text[i]) for i in (start, end))
 
 
 def masks(item: str) -> dict[str, int]:
@@ -126,7 +140,8 @@ class Matcher:
                     else:
                         best[n] = min(d, best.get(n, d))
                     continue
-                best[n] = 0
+                if len(self.items[n][1]) >= SHORT_CHARS or at_borders(text, start, end + 1):
+                    best[n] = 0
         for n, d in best.items():
             yield self.items[n][0], d
 
@@ -140,16 +155,16 @@ def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator
     for i in range(n):
         rows: list[Row] = items.where(F.col("block") == i).collect()
         normal = sorted({(r["item_id"], normalise(r["text"])) for r in rows})
-        yield [(i_, t) for i_, t in normal if len(t) >= MIN_CHARS]
+        yield [(i_, t) for i_, t in normal if t]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``(doc_id, sha, item_id, distance)``: each document and test item that occurs in it within its edit budget.
 
-    Case and runs of white space do not count.  Null and empty texts hold
-    nothing; items with a null id, or of under ``MIN_CHARS`` characters, are not
-    searched for.  Repeated documents are each reported; an item listed twice
+    Case and runs of white space do not count.  Items of under ``SHORT_CHARS``
+    characters must occur unchanged between word borders.  Null and empty texts
+    hold nothing; items with a null id, or empty ones, are not searched for.  Repeated documents are each reported; an item listed twice
     is one item, with its least distance.  Other columns are ignored.
     """
     spark = docs.sparkSession

@@ -89,6 +89,19 @@ def test_decontamination_equals_brute_force(spark):
     assert decontam.keep_clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_decontamination_finds_short_items_at_word_borders(spark):
+    items = [(1, "Paris"), (2, "What is  two?"), (3, "水は百度で沸騰しますか"), (4, "42"), (5, " "), (6, "c++"), (7, "a river in spring")]
+    rows = [
+        (1, "He said: PARIS, twice"), (2, "comparison of parishes"), (3, "so what is\ntwo? A number"), (4, "先生は水は百度で沸騰しますかと聞いた"),
+        (5, "142 and 420 and 4.2"), (6, "(42)"), (7, "C++17 or c++ code"), (8, "paris\u0301"), (9, "a rivet in spring"), (10, "in A  River in Spring."),
+        (11, "paris"), (12, "parisparis paris"), (13, None),
+    ]
+    docs, bench = table(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = [(1, 1, 0), (3, 2, 0), (4, 3, 0), (6, 4, 0), (7, 6, 0), (10, 7, 0), (11, 1, 0), (12, 1, 0)]
+    assert sorted(map(tuple, decontam.query(docs, bench).collect())) == want
+    assert sorted(i for i, _ in pairs(decontam.keep_clean(docs, bench))) == [2, 5, 8, 9, 13]
+
+
 def test_decontamination_in_several_blocks(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     want = sorted(map(tuple, decontam.query(docs, bench).collect()))
