@@ -134,6 +134,64 @@ def test_license_headers_and_inheritance(spark):
     assert licenses.license_scan(files.limit(0)).count() == 0
 
 
+def test_license_blocks_and_whole_texts(spark):
+    rng = random.Random(4)
+    whole = dict(licenses.full_texts())
+    apache = "Licensed under the Apache License, Version 2.0 (the \"License\");\nyou may not use this file except in compliance with the License."
+    texts = {
+        "MIT": [
+            "Copyright 2021 Example Inc. Released under the MIT License.", "This file is released under the terms of the MIT License.",
+            "# Copyright 2020\n# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and\n# associated documentation files.\n",
+            "The MIT License\n\nCopyright (c) 2021 Ann Other\n\n" + whole["MIT"], " ".join(whole["MIT"].split()),
+        ],
+        "CC-BY-NC-4.0": ["The text of this page is licensed under CC BY-NC 4.0.", prose(rng, 40) + " licensed under\nCC BY-NC 4.0 " + prose(rng, 40)],
+        "Apache-2.0": ["/* Copyright 2019 Example\n * " + apache.replace("\n", "\n * ") + "\n */\nint main() {}", whole["Apache-2.0"]],
+        "GPL-3.0": [whole["GPL-3.0"][:-1500], "// This program is free software: you can redistribute\n// it and/or modify it under the terms of the\n// GNU General Public License."],
+        "BSD-3-Clause": ["Copyright 2022 Example\n" + whole["BSD-3-Clause"] + prose(rng, 60)],
+        "MPL-2.0": [whole["MPL-2.0"][:15000]],
+        "CC0-1.0": [whole["CC0-1.0"]],
+        None: ["the license of the river", "released from under the stone", "public software is free", "a copy of the general terms"],
+    }
+    rows = [(name, t) for name, ts in texts.items() for t in ts] + [(name, "Copyright 2023 Example\n\n" + t) for name, t in whole.items()]
+    files = [(i, f"f{i}/x", t) for i, (_, t) in enumerate(rows)] + [(100 + i, f"p{i}/x", prose(rng, 60)) for i in range(200)]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string").repartition(3)).collect()}
+    assert len(got) == len(files)
+    assert {i: got[i]["license"] for i in range(len(rows))} == {i: name for i, (name, _) in enumerate(rows)}
+    assert not any(r["license"] for i, r in got.items() if i >= 100)
+
+
+def test_license_windows_equal_brute_force(spark):
+    rng = random.Random(6)
+    words = "licensed released under the mit license cc by 4.0 stone of river and terms".split()
+    rows = [(i, f"{i}/x", " ".join(rng.choice(words) + rng.choice(["", "", ",", "\n"]) for _ in range(rng.randint(0, 25)))) for i in range(150)]
+    templates = licenses.TEMPLATES[:2] + licenses.TEMPLATES[-4:-3]
+    n = len(rows)
+    df = {}
+    for _, _, t in rows:
+        for w in set(licenses.terms(t)):
+            df[w] = df.get(w, 0) + 1
+    idf = lambda w: np.log((n + 1) / (df.get(w, 0) + 1)) + 1
+
+    def vector(found):
+        return {w: found.count(w) * idf(w) for w in found}
+
+    def cosine(u, v):
+        return sum(u[w] * v.get(w, 0) for w in u) / np.sqrt(sum(x * x for x in u.values()) * sum(x * x for x in v.values()))
+
+    want = {}
+    for i, _, t in rows:
+        found, best = licenses.terms(t), 0
+        for _, x in templates:
+            size = len(licenses.terms(x))
+            parts = [found] + [licenses.terms(line) for line in t.split("\n")]
+            parts += [found[s : s + k] for k in (size, size + size // 4) for s in range(max(0, len(found) - k) + 1)]
+            best = max([best] + [cosine(vector(licenses.terms(x)), vector(p)) for p in parts if p])
+        want[i] = round(float(best), 9) if best >= licenses.THRESHOLD else None
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string"), templates).collect()
+    assert {r["doc_id"]: None if r["cosine"] is None else round(r["cosine"], 9) for r in got} == want
+    assert 0 < sum(x is not None and x < 0.999 for x in want.values())
+
+
 def test_license_cosine_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = pairs(docs)
