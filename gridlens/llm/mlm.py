@@ -2,9 +2,9 @@
 
 The network sums position-wise embeddings of the words around a masked one, and
 predicts it by two softmaxes: its class, then the word within the class.  The
-vocabulary comes from word counts over the whole corpus; rarer words fall into
-buckets by their ending, and a word's share of its bucket is the inverse of the
-number of different words there.  A bounded sample starts the network; then
+vocabulary are the words over a count threshold in the whole corpus; rarer words
+fall into buckets by their ending, and a word's share of its bucket is its part
+of the bucket's occurrences, joined from the table of all words.  A bounded sample starts the network; then
 every partition trains a copy on all of its texts, and the copies are averaged.
 A document's score is the sum of its words' conditional log-probabilities.
 """
@@ -20,15 +20,17 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.llm.common import prepare, stored, text_blocks, text_or_empty
 
-WORDS = 1023  # frequent words with a place of their own
+# Words with a place of their own: seen so often, and one in so many of the corpus (so many words at most).
+LEAST, ONE_IN = 5, 65_536
 BUCKETS = 256  # of all other words
-SIZE = 1 + WORDS + BUCKETS  # 0 stands for what lies outside the text
-SIDE = int(np.ceil(np.sqrt(SIZE)))  # classes, and words in a class
+SIZE = 1 + 1023 + BUCKETS  # of a network if not given; 0 stands for what lies outside the text
+UNIT = 2.0**30  # logarithms are summed in whole parts of this, alike in any order
 WIDTH = 16
 OFFSETS = (-2, -1, 1, 2)
 STEP_WORDS = 8192
@@ -60,14 +62,18 @@ class Ids(dict):
         if len(self) > HELD:
             self.clear()
             self.update((w, i) for i, w in enumerate(self.words, 1))
-        n = self[word] = 1 + WORDS + bucket(word)
+        n = self[word] = 1 + len(self.words) + bucket(word)
         return n
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     words: list[str]
-    share: np.ndarray  # log of a word's share of its bucket, by number; 0 for frequent words
+    share: np.ndarray  # minus the log of the occurrences in a word's bucket, by number; 0 for frequent words
+
+    @property
+    def size(self) -> int:
+        return 1 + len(self.words) + BUCKETS
 
 
 def word_counts(src: DataFrame) -> DataFrame:
@@ -87,37 +93,38 @@ def word_counts(src: DataFrame) -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """The most frequent words, and how many other words each bucket holds."""
-    top = counts.orderBy(F.desc("n"), "word").limit(WORDS)
-    words = [r["word"] for r in top.collect()]
+    """The words over the threshold, the most frequent first, and how often each bucket's other words occur."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = (F.col("n") >= LEAST) & (F.col("n") * ONE_IN >= total)
+    words = [r["word"] for r in counts.where(often).orderBy(F.desc("n"), "word").collect()]  # ONE_IN rows at most
     ending = F.crc32(F.expr("right(word, 3)").cast("binary"))
-    rest = counts.join(F.broadcast(top.select("word")), "word", "left_anti").groupBy((ending % BUCKETS).cast("int").alias("b")).count()
-    share = np.zeros(SIZE, np.float32)
+    rest = counts.where(~often).groupBy((ending % BUCKETS).cast("int").alias("b")).agg(F.sum("n").alias("n"))
+    share = np.zeros(1 + len(words) + BUCKETS)
     for r in rest.collect():  # BUCKETS rows at most
-        share[1 + WORDS + r["b"]] = -np.log(r["count"])
+        share[1 + len(words) + r["b"]] = -np.log(r["n"])
     return Vocabulary(words, share)
 
 
 class Network:
     """Parameters in one flat array; ``E`` (offset, word, width), ``C`` and ``c`` (class), ``W`` and ``w`` (word in class)."""
 
-    SHAPES = {"E": (len(OFFSETS), SIZE, WIDTH), "C": (WIDTH, SIDE), "c": (SIDE,), "W": (SIDE, WIDTH, SIDE), "w": (SIDE, SIDE)}
-    LENGTH = sum(int(np.prod(s)) for s in SHAPES.values())
-
-    def __init__(self, flat: np.ndarray | None = None) -> None:
+    def __init__(self, flat: np.ndarray | None = None, size: int = SIZE) -> None:
+        self.size, self.side = size, int(np.ceil(np.sqrt(size)))  # words in a class
+        self.groups = -(-size // self.side)
+        n, g = self.side, self.groups
+        self.shapes = {"E": (len(OFFSETS), size, WIDTH), "C": (WIDTH, g), "c": (g,), "W": (g, WIDTH, n), "w": (g, n)}
+        self.length = sum(int(np.prod(s)) for s in self.shapes.values())
         if flat is None:
-            flat = np.random.default_rng(11).normal(0, 0.1, self.LENGTH).astype(np.float32)
-        self.flat, self.grown = flat, np.full(self.LENGTH, 1e-6, np.float32)
+            flat = np.random.default_rng(11).normal(0, 0.1, self.length).astype(np.float32)
+        self.flat, self.grown = flat, np.full(self.length, 1e-6, np.float32)
         self.parts = self._views(flat)
         # places of a class that no word has never win
-        last = SIZE - (SIDE - 1) * SIDE
-        self.hidden = np.zeros((SIDE, SIDE), np.float32)
-        if last < SIDE:
-            self.hidden[SIDE - 1, max(0, last):] = -1e9
+        self.hidden = np.zeros((g, n), np.float32)
+        self.hidden[g - 1, size - (g - 1) * n :] = -1e9
 
     def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
         out, at = {}, 0
-        for name, shape in self.SHAPES.items():
+        for name, shape in self.shapes.items():
             n = int(np.prod(shape))
             out[name] = flat[at : at + n].reshape(shape)
             at += n
@@ -127,19 +134,19 @@ class Network:
         """Log-probability of each target; with ``learn``, one step of gradient descent as well."""
         p = self.parts
         h = np.tanh(sum(p["E"][o][around[:, o]] for o in range(len(OFFSETS))))
-        group, place = np.divmod(target, SIDE)
+        group, place = np.divmod(target, self.side)
         row = np.arange(len(target))
         one = _softmax(h @ p["C"] + p["c"])
         out = np.log(one[row, group] + 1e-30)
         order = np.argsort(group.astype(np.uint16), kind="stable")
-        cut = np.searchsorted(group[order], np.arange(SIDE + 1))
+        cut = np.searchsorted(group[order], np.arange(self.groups + 1))
         if learn:
-            grad = np.zeros(self.LENGTH, np.float32)
+            grad = np.zeros(self.length, np.float32)
             g = self._views(grad)
             one[row, group] -= 1
             back = one @ p["C"].T
             g["C"][:], g["c"][:] = h.T @ one, one.sum(0)
-        for k in range(SIDE):
+        for k in range(self.groups):
             at = order[cut[k] : cut[k + 1]]
             if not len(at):
                 continue
@@ -154,7 +161,7 @@ class Network:
             back *= 1 - h * h
             for o in range(len(OFFSETS)):
                 for d in range(WIDTH):
-                    g["E"][o][:, d] = np.bincount(around[:, o], back[:, d], SIZE)
+                    g["E"][o][:, d] = np.bincount(around[:, o], back[:, d], self.size)
             grad /= len(target)
             self.grown += grad * grad
             self.flat -= RATE * grad / np.sqrt(self.grown)
@@ -194,7 +201,7 @@ def started(src: DataFrame, vocab: Vocabulary) -> np.ndarray:
     least = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(SAMPLE_ROWS).collect()]
     chosen = rows.where(F.col("h") <= F.lit(least[-1])).dropDuplicates(["h"]).collect() if least else []
     texts = [r["text"] for r in sorted(chosen, key=lambda r: r["h"])]
-    net = Network()
+    net = Network(size=vocab.size)
     around, target, _ = windows(Ids(vocab.words), texts)
     for _ in range(SAMPLE_ROUNDS):
         for a, t in _steps(around, target):
@@ -205,11 +212,11 @@ def started(src: DataFrame, vocab: Vocabulary) -> np.ndarray:
 def trained(src: DataFrame, vocab: Vocabulary) -> np.ndarray:
     """The mean of the copies that all partitions train on all of their texts, weighted by their words."""
     spark = src.sparkSession
-    start = spark.sparkContext.broadcast((vocab, started(src, vocab)))  # of fixed size
+    start = spark.sparkContext.broadcast((vocab, started(src, vocab)))  # of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, flat = start.value
-        net, ids, seen = Network(flat.copy()), Ids(vocab.words), 0
+        net, ids, seen = Network(flat.copy(), vocab.size), Ids(vocab.words), 0
         for whole in batches:
             for b in text_blocks(whole, "text"):
                 around, target, _ = windows(ids, b.column(0).to_pylist())
@@ -248,22 +255,37 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     src = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     counts = stored(word_counts(src), "words")
     vocab = vocabulary(counts)
-    model = spark.sparkContext.broadcast((vocab, trained(src.select("text"), vocab)))  # of fixed size
+    model = spark.sparkContext.broadcast((vocab, trained(src.select("text"), vocab)))  # of bounded size
     id_type = src.schema["doc_id"].dataType.simpleString()
+    schema = f"rid long, doc_id {id_type}, n_words long, log_prob double, words array<string>, times array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, flat = model.value
-        net, ids = Network(flat), Ids(vocab.words)
+        net, ids = Network(flat, vocab.size), Ids(vocab.words)
+        own = set(vocab.words)
+        rid = TaskContext.get().partitionId() << 40  # numbers the rows
         for whole in batches:
             for b in text_blocks(whole, "text"):
-                around, target, counts = windows(ids, b.column(1).to_pylist())
+                texts = b.column(1).to_pylist()
+                around, target, counts = windows(ids, texts)
                 logs = [net.pass_(a, t, False) + vocab.share[t] for a, t in _steps(around, target)]
                 total = np.append(0, np.cumsum(np.concatenate([[], *logs]).astype(np.float64)))
                 ends = np.cumsum(counts)
                 score = total[ends] - total[ends - counts]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts), pa.array(score)], ["doc_id", "n_words", "log_prob"])
-
-    return src.mapInArrow(run, f"doc_id {id_type}, n_words long, log_prob double")
+                rare = [Counter(w for w in split(t) if w not in own) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(rid, rid + len(texts)), pa.int64()), b.column(0), pa.array(counts), pa.array(score),
+                     pa.array([list(c) for c in rare], pa.list_(pa.string())), pa.array([list(c.values()) for c in rare], pa.list_(pa.int32()))],
+                    ["rid", "doc_id", "n_words", "log_prob", "words", "times"])
+                rid += len(texts)
+
+    scored = stored(src.mapInArrow(run, schema), "scores")
+    # the rarer words' own counts; a word seen once has the log 0
+    rare = scored.select("rid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("rid", "w.words", "w.times")
+    again = counts.where("n > 1").select("word", F.round(F.log("n") * UNIT).cast("long").alias("log_n"))
+    shares = rare.join(again, F.col("words") == F.col("word")).groupBy(F.col("rid").alias("_rid")).agg(F.sum(F.col("times") * F.col("log_n")).alias("s"))
+    whole = F.col("log_prob") + F.coalesce(F.col("s") / UNIT, F.lit(0.0))
+    return scored.join(shares, F.col("rid") == F.col("_rid"), "left").select("doc_id", "n_words", whole.alias("log_prob"))
 
 
 def query(docs: DataFrame) -> DataFrame:

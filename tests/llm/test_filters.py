@@ -228,6 +228,18 @@ def test_pseudo_likelihood_of_awkward_rows(spark):
     assert mlm.query(empty(spark)).count() == 0
 
 
+def test_pseudo_likelihood_tells_rare_words_apart(spark):
+    frequent = [f"w{i}on" for i in range(1100)]
+    texts = [" ".join(frequent[i : i + 100]) for i in range(0, 1100, 100)] * 6
+    texts += ["w1on w2on xxthing w3on w4on"] * 4 + ["w1on w2on yything w3on w4on"]
+    docs = table(spark, list(enumerate(texts)))
+    vocab = mlm.vocabulary(mlm.word_counts(docs))
+    assert set(vocab.words) == set(frequent)  # as many as the corpus has
+    got = {r["doc_id"]: r["log_prob"] for r in mlm.query(docs).collect()}
+    n = len(texts)
+    assert abs(got[n - 2] - got[n - 1] - np.log(4)) < 1e-4
+
+
 def test_pseudo_likelihood_is_a_distribution_and_learns():
     rng = random.Random(3)
     texts = ["the red fox runs over the green hill and the blue river " * 3 for _ in range(200)]
