@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from gridlens.llm import decontam, exact_dedup, licenses, mlm, quality, sharding, simhash, sp_codec, suffix_dedup, token_fst
+from gridlens.llm import (
+    decontam,
+    exact_dedup,
+    jaccard_join,
+    licenses,
+    mlm,
+    quality,
+    ranked_search,
+    sharding,
+    simhash,
+    sp_codec,
+    suffix_dedup,
+    token_fst,
+    whitening,
+)
 from gridlens.llm.common import documents
 
 QUERIES = {
@@ -16,8 +30,12 @@ QUERIES = {
     "op8_token_counts": lambda spark, d: token_fst.query(documents(spark, d)),
     "op9_uniform_shards": lambda spark, d: sharding.query(documents(spark, d)),
     "op10_sentencepiece": lambda spark, d: sp_codec.query(documents(spark, d)),
+    "op11_whitening": lambda spark, d: whitening.query(spark.read.parquet(f"{d.rstrip('/')}/embeddings.parquet")),
+    "op12_ranked_search": lambda spark, d: ranked_search.query(documents(spark, d), spark.read.parquet(f"{d.rstrip('/')}/benchmark.parquet")),
+    "op13_jaccard_join": lambda spark, d: jaccard_join.query(documents(spark, d)),
 }
 
 ORACLE_SQL = {
     "op5_exact_dedup": exact_dedup.SQL,
+    "op12_ranked_search": ranked_search.SQL,
 }
