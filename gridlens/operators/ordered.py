@@ -106,6 +106,7 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], group_cols: S
     per_group = ahead.groupBy(*keys).agg(
         F.sum("_t").alias("_total"), F.collect_list(F.struct("_part", "_o", "_t")).alias("_spots"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    per_group = per_group.filter(F.col("_total").isNotNull())  # an empty table has no ranks
     ranks = per_group.select(*keys, wanted.alias("p"), "_spots", "_total").withColumn("_h", (F.col("_total") - 1) * F.col("p"))
     low_high = F.array(
         F.struct(F.lit("lo").alias("which"), F.floor("_h").alias("r")),
@@ -113,7 +114,7 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], group_cols: S
     )
     ranks = ranks.select(*keys, "p", "_h", "_spots", F.explode(low_high).alias("t")).select(*keys, "p", "_h", "_spots", "t.which", "t.r")
     spot = F.filter("_spots", lambda s: (s["_o"] <= F.col("r")) & (F.col("r") < s["_o"] + s["_t"]))
-    hit = ranks.withColumn("_spot", F.element_at(spot, 1)).select(
+    hit = ranks.withColumn("_spot", F.try_element_at(spot, F.lit(1))).select(
         *keys, F.col("_spot._part").alias("_part"), "p", "_h", "which", "r", F.col("_spot._o").alias("_o"))
     inside = join_null_safe(counts, hit.select(*keys, "_part").distinct(), [*keys, "_part"], "left_semi")
     upto = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
