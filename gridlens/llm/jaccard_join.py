@@ -2,8 +2,8 @@
 
 Every text becomes the set of its distinct word shingles, as 64-bit hashes;
 equal sets are one class.  Two sets over the threshold differ in a bounded
-number of shingles, so of one part more than that number (shingles are dealt
-to parts by their hash) one part is equal in both: sets that share a part's
+number of shingles, so of more parts than that number (shingles are dealt to
+parts by their hash) one part is equal in both: sets that share a part's
 digest form candidate blocks, each of which holds both ends of every link of
 its members.  In a block, every set asks the inverted lists of the others for
 those that hold at least T of its shingles: the short lists are merged (a heap
@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest, xxh64_intdigest, xxh128_digest
+from xxhash import xxh64_intdigest, xxh128_digest
 
 from gridlens.llm.common import prepare, rows_of, shuffle_width, stored, text_or_empty
 from gridlens.llm.components import components
@@ -35,6 +35,8 @@ PART = 2048
 # DivideSkip's share of long lists, and the largest merge left to the heap.
 MU = 0.0085
 HEAP_ENTRIES = 2048
+# A side of a join is broadcast if its counted rows take no more than this.
+BROADCAST_BYTES = 32 << 20
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -61,10 +63,15 @@ def classes(largest: int, percent: int) -> list[int]:
     return out
 
 
-def parts_of(least_next: int, percent: int) -> int:
-    """One part more than two linked sets can differ in, the smaller one below ``least_next``."""
+def most_apart(least_next: int, percent: int) -> int:
+    """The most shingles that only one of two linked sets holds, the smaller set below ``least_next``."""
     small = least_next - 1
-    return (small + most_other(small, percent)) * (100 - percent) // (100 + percent) + 1
+    return (small + most_other(small, percent)) * (100 - percent) // (100 + percent)
+
+
+def parts_of(least: int, apart: int) -> int:
+    """Parts for sets of ``least`` shingles or more: one more than can differ, and about as many more as stay empty thrice over."""
+    return apart + 1 + int(3 * (apart + 1) * math.exp(-least / (apart + 1)) + 0.9)
 
 
 def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
@@ -75,67 +82,101 @@ def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def part_digests(h: np.ndarray, scheme: int, n: int, seed: int = 1) -> list[int]:
-    """A digest per part, signed.  An empty part, which says nothing, is answered by a second deal of all
-    shingles to parts (sets with that part empty are compared there), and by the bare number if that has one too."""
-    mixed = _mixed(h, seed)
-    part = (mixed >> np.uint64(32)) % np.uint64(n)
+def part_digests(h: np.ndarray, scheme: int, n: int, apart: int) -> list[int]:
+    """A digest per part that is not empty, signed.
+
+    Linked sets agree in ``n - apart`` parts at least, so a set with fewer empty
+    parts need not answer for them; a set with as many gives their numbers too.
+    """
+    mixed = _mixed(h, 1)
+    part = ((mixed >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
     total = np.zeros(n, np.uint64)
-    np.add.at(total, part.astype(np.int64), _mixed(mixed, 77))
-    there = np.bincount(part.astype(np.int64), minlength=n) > 0
-    tag = np.arange(n, dtype=np.uint64) + np.uint64((scheme << 40) + (seed << 32))
-    total = _mixed(total ^ _mixed(tag, 5), 9).view(np.int64)
-    out = total[there].tolist()
-    if not there.all():
-        for p in np.flatnonzero(~there).tolist():
-            inner = part_digests(h, scheme, n, seed + 1) if seed < 3 else [0]
-            out += [xxh3_64_intdigest(f"{scheme}:{seed}:{p}:{x}") - (1 << 63) for x in inner]
+    np.add.at(total, part, _mixed(mixed, 77))
+    there = np.bincount(part, minlength=n) > 0
+    tag = _mixed(np.arange(n, dtype=np.uint64) + np.uint64(scheme << 40), 5)
+    digest = _mixed(total ^ tag, 9).view(np.int64)
+    return (digest[there] if n - there.sum() < n - apart else digest).tolist()
+
+
+def set_digests(h: np.ndarray, percent: int, least: list[int]) -> list[int]:
+    """The part digests of a set in the scheme of its size class and of the class below, signed.
+
+    A class whose sets cannot differ has none.  ``least`` grows as needed.
+    """
+    if len(h) >= least[-1]:
+        least[:] = classes(len(h), percent)
+    own = int(np.searchsorted(least, len(h), "right")) - 1
+    out = []
+    for scheme in {own, max(own - 1, 0)}:
+        if len(h) and (apart := most_apart(least[scheme + 1], percent)):
+            out += part_digests(h, scheme, parts_of(least[scheme], apart), apart)
     return out
 
 
-def shingle_sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """``(rid, doc_id, n, d1, d2, h)``: set size, 128-bit digest of the set, the sorted hashes as bytes."""
-    prepare(docs.sparkSession)
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+def _texts(docs: DataFrame, text_col: str) -> DataFrame:
+    """The rows with ``text`` (null: empty) and its digest ``tk``."""
+    text = text_or_empty(text_col)
+    return docs.withColumns({"text": text, "tk": F.unhex(F.substring(F.sha2(text, 256), 1, 32))})
+
+
+def shingle_sets(docs: DataFrame, percent: int, words: int, id_col: str, text_col: str) -> DataFrame:
+    """``(rid, doc_id, n, d1, d2, tk, sigs)``: set size, 128-bit digest of the set, digest of the text, part digests as bytes."""
+    src = _texts(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("t_")), "t_")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = [1]
         for b in batches:
-            sets = [shingle_set(t.as_py(), words) for t in b.column(2)]
-            raw = [np.ascontiguousarray(s, "<u8").tobytes() for s in sets]
-            d = np.frombuffer(b"".join(map(xxh128_digest, raw)), "<i8").reshape(-1, 2)
+            n, raw, sigs = [], [], []
+            for t in b.column(2):
+                h = shingle_set(t.as_py(), words)
+                n.append(len(h))
+                raw.append(xxh128_digest(np.ascontiguousarray(h, "<u8")))
+                sigs.append(np.array(set_digests(h, percent, least), "<i8").tobytes())
+            d = np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(raw, pa.binary())],
-                ["rid", "doc_id", "n", "d1", "d2", "h"],
+                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), b.column(3), pa.array(sigs, pa.binary())],
+                ["rid", "doc_id", "n", "d1", "d2", "tk", "sigs"],
             )
 
-    return src.mapInArrow(run, f"rid long, doc_id {src.schema['doc_id'].dataType.simpleString()}, n long, d1 long, d2 long, h binary")
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.select("rid", "doc_id", "text", "tk").mapInArrow(run, f"rid long, doc_id {kind}, n long, d1 long, d2 long, tk binary, sigs binary")
 
 
-def signatures(sets: DataFrame, percent: int) -> DataFrame:
-    """``(sig, d1)``: the part digests of every set, in the scheme of its size class and of the class below.
-
-    A task writes equal sets once; a class whose sets cannot differ has no parts.
-    """
+def signatures(sets: DataFrame) -> DataFrame:
+    """``(sig, d1)``: a row per part digest; a task writes equal sets once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, least = set(), [1]
+        seen = set()
         for b in batches:
-            sig, d1 = [], []
+            sigs, d1, times = [], [], []
             for d, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                h = np.frombuffer(raw.as_py(), "<u8")
-                if d in seen or not len(h):
-                    continue
-                seen.add(d)
-                if least[-1] <= len(h):
-                    least = classes(len(h), percent)
-                own = int(np.searchsorted(least, len(h), "right")) - 1
-                for scheme in {own, max(own - 1, 0)}:
-                    if (n := parts_of(least[scheme + 1], percent)) > 1:
-                        sig += (x := part_digests(h, scheme, n))
-                        d1 += [d] * len(x)
-            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(d1, pa.int64())], ["sig", "d1"])
-
-    return sets.select("d1", "h").mapInArrow(run, "sig long, d1 long")
+                if d not in seen:
+                    seen.add(d)
+                    sigs.append(raw.as_py())
+                    d1.append(d)
+                    times.append(len(sigs[-1]) // 8)
+            sig = np.frombuffer(b"".join(sigs), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(np.repeat(np.array(d1, np.int64), times))], ["sig", "d1"])
+
+    return sets.select("d1", "sigs").mapInArrow(run, "sig long, d1 long")
+
+
+def _small(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table, marked for broadcast if its counted rows are proven to fit; larger ones are shuffled."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def block_members(docs: DataFrame, inside: DataFrame, words: int, text_col: str) -> DataFrame:
+    """``(sid, block, h)``: the shingle sets of the classes in a block, cut again from one text each."""
+    texts = _texts(docs.select(F.col(text_col).alias("t_")), "t_").select("text", "tk")
+    one = texts.join(inside, "tk").groupBy("sid", "block").agg(F.min("text").alias("text"))  # copies meet before they travel
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = [shingle_set(t.as_py(), words).astype("<u8").tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(raw, pa.binary())], ["sid", "block", "h"])
+
+    return one.mapInArrow(run, "sid long, block long, h binary")
 
 
 class InvertedLists:
@@ -265,15 +306,19 @@ def jaccard_groups(
     columns are ignored; an empty table gives none.  Shingles are compared by
     64-bit hashes, whole sets by 128-bit digests.
     """
-    sets = stored(shingle_sets(docs, words, id_col, text_col), "shingle-sets")
+    prepare(docs.sparkSession)
+    sets = stored(shingle_sets(docs, percent, words, id_col, text_col), "shingle-sets")
     full = sets.where("n > 0")
-    kinds = stored(full.groupBy("d1", "d2").agg(F.min("rid").alias("sid"), F.min("doc_id").alias("low")), "classes")
-    sigs = stored(signatures(full, percent), "part-digests")
-    shared = sigs.groupBy("sig").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first < last").select("sig", "first")
-    near = sigs.join(shared, "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
+    first = F.min(F.struct("rid", "tk"))
+    kinds = full.groupBy("d1", "d2").agg(first.alias("one"), F.min("doc_id").alias("low"))
+    kinds = stored(kinds.select("d1", "d2", F.col("one.rid").alias("sid"), F.col("one.tk").alias("tk"), "low"), "classes")
+    sigs = signatures(full)
+    shared = sigs.groupBy("sig").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first < last")
+    shared = stored(shared.select("sig", "first"), "shared-parts")
+    near = sigs.join(_small(shared, 16), "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
     blocks = components(near).select(F.col("node").alias("d1"), F.col("root").alias("block"))
-    inside = kinds.join(blocks, "d1").select("sid", "block")
-    members = stored(full.select("rid", "h").join(inside, F.col("rid") == F.col("sid")).select("sid", "block", "h"), "block-members")
+    inside = stored(kinds.join(blocks, "d1").select("tk", "sid", "block"), "in-blocks")
+    members = stored(block_members(docs, _small(inside, 64), words, text_col), "block-members")
     links = _forests(_tiles(members, part), percent)
     roots = components(links)
     rooted = stored(kinds.join(roots, F.col("sid") == F.col("node"), "left").select("d1", "d2", "low", F.coalesce("root", "sid").alias("root")), "rooted")

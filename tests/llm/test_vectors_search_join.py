@@ -188,6 +188,7 @@ def near_copies(seed=8):
 @pytest.mark.parametrize("percent,part,heap", [(90, 2048, 2048), (80, 3, 0)])
 def test_jaccard_join_equals_brute_force(spark, monkeypatch, percent, part, heap):
     monkeypatch.setattr(jaccard_join, "HEAP_ENTRIES", heap)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", heap << 14)
     rows = pairs(table(spark)) + near_copies()
     docs = table(spark, rows)
     got = sorted(map(tuple, jaccard_join.jaccard_groups(docs, percent, part=part).collect()), key=repr)
@@ -215,11 +216,5 @@ def test_linked_sets_share_a_part():
         digests = []
         for s in (a, b):
             h = np.array(sorted(s), np.uint64)
-            least = jaccard_join.classes(len(h), 90)
-            own = int(np.searchsorted(least, len(h), "right")) - 1
-            sig = set()
-            for scheme in {own, max(own - 1, 0)}:
-                if (n := jaccard_join.parts_of(least[scheme + 1], 90)) > 1:
-                    sig |= set(jaccard_join.part_digests(h, scheme, n))
-            digests.append(sig)
+            digests.append(set(jaccard_join.set_digests(h, 90, [1])))
         assert digests[0] & digests[1]
