@@ -52,6 +52,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_side(df: DataFrame, row_bytes: int, most: int = 32 << 20) -> DataFrame:
+    """A stored table, marked for broadcast if its counted rows are proven to fit ``most`` bytes.
+
+    A larger one is joined by a shuffle like any other.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

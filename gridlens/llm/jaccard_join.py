@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest, xxh128_digest
 
-from gridlens.llm.common import prepare, rows_of, shuffle_width, stored, text_or_empty
+from gridlens.llm.common import prepare, rows_of, shuffle_width, small_side, stored, text_or_empty
 from gridlens.llm.components import components
 
 WORDS = 3
 PERCENT = 90
 # A block with more members is dealt to tiles of two parts of this size.
-PART = 2048
+PART = 512
 # DivideSkip's share of long lists, and the largest merge left to the heap.
 MU = 0.0085
 HEAP_ENTRIES = 2048
@@ -161,11 +161,6 @@ def signatures(sets: DataFrame) -> DataFrame:
     return sets.select("d1", "sigs").mapInArrow(run, "sig long, d1 long")
 
 
-def _small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """A stored table, marked for broadcast if its counted rows are proven to fit; larger ones are shuffled."""
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
 def block_members(docs: DataFrame, inside: DataFrame, words: int, text_col: str) -> DataFrame:
     """``(sid, block, h)``: the shingle sets of the classes in a block, cut again from one text each."""
     texts = _texts(docs.select(F.col(text_col).alias("t_")), "t_").select("text", "tk")
@@ -315,10 +310,10 @@ def jaccard_groups(
     sigs = signatures(full)
     shared = sigs.groupBy("sig").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first < last")
     shared = stored(shared.select("sig", "first"), "shared-parts")
-    near = sigs.join(_small(shared, 16), "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
+    near = sigs.join(small_side(shared, 80, BROADCAST_BYTES), "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
     blocks = components(near).select(F.col("node").alias("d1"), F.col("root").alias("block"))
     inside = stored(kinds.join(blocks, "d1").select("tk", "sid", "block"), "in-blocks")
-    members = stored(block_members(docs, _small(inside, 64), words, text_col), "block-members")
+    members = stored(block_members(docs, small_side(inside, 160, BROADCAST_BYTES), words, text_col), "block-members")
     links = _forests(_tiles(members, part), percent)
     roots = components(links)
     rooted = stored(kinds.join(roots, F.col("sid") == F.col("node"), "left").select("d1", "d2", "low", F.coalesce("root", "sid").alias("root")), "rooted")

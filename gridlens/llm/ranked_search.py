@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import prepare, stored, text_or_empty
+from gridlens.llm.common import prepare, small_side, stored, text_or_empty
 
 K = 10
 # Postings that one task's lists hold on average, and queries of a block.
-SHARD_POSTINGS = 750_000
+SHARD_POSTINGS = 400_000
 BLOCK_ITEMS = 500
 # Places read of every list in the first round; later rounds read more.
 FIRST_ROUND = 4
@@ -192,8 +192,8 @@ def search(
     spark = docs.sparkSession
     prepare(spark)
     items = stored(term_counts(queries, item_col, item_text).where("term != ''").select(F.col("rid").alias("iid"), F.col("id").alias("item_id"), "term"), "query-terms")
-    asked = items.select("term").distinct().union(spark.createDataFrame([("",)], "term string"))
-    post = stored(term_counts(docs, id_col, text_col).join(asked, "term", "left_semi"), "postings")
+    asked = stored(items.select("term").union(spark.createDataFrame([("",)], "term string")).distinct(), "asked-terms")
+    post = stored(term_counts(docs, id_col, text_col).join(small_side(asked, 200), "term", "left_semi"), "postings")
     known = stored(post.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("total")), "term-documents")
     head = known.where("term = ''").first()
     total, length = (head["df"], head["total"]) if head else (0, 0)
