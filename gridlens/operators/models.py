@@ -5,7 +5,8 @@ only things that reach the driver are model parameters and per-iteration /
 per-feature numbers, all bounded by the model size, not the data size.
 
 Re-aimed choices (the source trained single-machine libraries):
-* boosted trees -> ``GBTRegressor`` / ``GBTClassifier``
+* boosted trees -> ``GBTRegressor`` / ``GBTClassifier``; where many models are
+  compared (learning curve, grid, ablation) -> ``boosting``, all fits side by side
 * neural classifier -> ``MultilayerPerceptronClassifier`` (sigmoid layers, L-BFGS)
 * neural count regressor -> Poisson ``GeneralizedLinearRegression`` on scaled
   features (Spark ML has no MLP regressor)
@@ -15,18 +16,20 @@ Re-aimed choices (the source trained single-machine libraries):
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlens.functions.columns import HASH_BITS, grid_bin
+from gridlens.operators.boosting import Fit, fit_scores
 from gridlens.operators.ordered import join_null_safe, prefix_sums
+from gridlens.session import materialize
 
 # Default hyper-parameters of the two boosted-tree models.
 GBT_REGRESSION_DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1,
@@ -223,53 +226,56 @@ def iteration_curve(spark: SparkSession, model: PipelineModel, train: DataFrame,
     return spark.createDataFrame(rows, "iteration int, train_loss double, valid_loss double")
 
 
-def learning_curve(spark: SparkSession, df: DataFrame, estimator: Pipeline, label: str, key_hash: Column,
-                   sizes: Sequence[float] = tuple(i / 10 for i in range(1, 11)), folds: int = 5,
-                   parallelism: int = 8) -> DataFrame:
+def _boosted_params(params: dict | None = None) -> dict:
+    p = merge_params(GBT_REGRESSION_DEFAULTS, params)
+    return {"depth": int(p["max_depth"]), "rate": float(p["learning_rate"]), "trees": int(p["n_estimators"]),
+            "subsample": float(p["subsample"]), "colsample": float(p["colsample_bytree"]), "seed": int(p["random_state"])}
+
+
+def learning_curve(df: DataFrame, features: Sequence[str], label: str, key_hash: Column, params: dict | None = None,
+                   sizes: Sequence[float] = tuple(i / 10 for i in range(1, 11)), folds: int = 5) -> DataFrame:
     """Mean training and validation R² of ``folds``-fold cross validation at each
     training size.  Sizes are nested ranges of the key hash (a row in the 10 %
     set is in every larger set) and a row's fold is a part of its hash too, so
-    reruns pick the same rows.  The size x fold fits are independent and run as
-    concurrent Spark jobs."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    fold = F.pmod(key_hash, F.lit(folds)).cast("int")
-    base = df.withColumns({"_h": key_hash, "_fold": fold})
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="r2")
-
-    def score(task):
-        s, k = task
-        part = base.filter(F.col("_h") < F.lit(int(s * (1 << HASH_BITS))))
-        inside, outside = part.filter(F.col("_fold") != k), part.filter(F.col("_fold") == k)
-        model = estimator.fit(inside)
-        return s, ev.evaluate(model.transform(inside)), ev.evaluate(model.transform(outside))
-
-    tasks = [(float(s), k) for s in sizes for k in range(folds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(score, tasks))
-    rows = spark.createDataFrame(results, "train_size double, train double, cv double")
-    return rows.groupBy("train_size").agg(
-        F.avg("train").alias("train_r2"), F.avg("cv").alias("cv_r2"), F.count(F.lit(1)).alias("folds")
+    reruns pick the same rows.  The size x fold fits share one binned matrix
+    and are grown side by side (see ``boosting``)."""
+    fold = F.pmod(key_hash, F.lit(folds))
+    fits = []
+    for s in map(float, sizes):
+        within = key_hash < F.lit(int(s * (1 << HASH_BITS)))
+        fits += [Fit(f"{s}", within & (fold != k), within & (fold == k), tuple(features), **_boosted_params(params)) for k in range(folds)]
+    # one name per size: its folds are averaged, each counted once
+    fits = [replace(f, name=f"{f.name}|{i}") for i, f in enumerate(fits)]
+    scores = fit_scores(df, fits, label, key_hash)
+    r2 = lambda part: F.avg(F.when(F.col("part") == part, F.col("r2")))
+    return scores.groupBy(F.substring_index("fit", "|", 1).cast("double").alias("train_size")).agg(
+        r2("train").alias("train_r2"), r2("judge").alias("cv_r2"), F.count_if(F.col("part") == "judge").alias("folds")
     )
 
 
-def param_grid_search(spark: SparkSession, train: DataFrame, test: DataFrame, features, label, depths: Sequence[int],
-                      rates: Sequence[float], trees: Sequence[int], base_params: dict | None = None,
-                      parallelism: int = 8) -> DataFrame:
-    """RMSE and R² on ``test`` for every combination of depth, rate and number of trees (GBT regressor).
+def param_grid_search(df: DataFrame, test: Column, features: Sequence[str], label: str, key_hash: Column, depths: Sequence[int],
+                      rates: Sequence[float], trees: Sequence[int], base_params: dict | None = None) -> DataFrame:
+    """RMSE and R² on the test rows for every combination of depth, rate and number of trees.
 
     Boosting adds trees one at a time, so the model of fewer trees is the
     beginning of the model of more: one fit per (depth, rate) gives all counts."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    spread = test.agg(F.var_pop(label)).first()[0]
-
-    def score(pair):
-        depth, rate = pair
-        params = {**(base_params or {}), "max_depth": depth, "learning_rate": rate, "n_estimators": max(trees)}
-        mse = _losses(gbt_regression_pipeline(features, label, params).fit(train), test, "squared")
-        return [(depth, rate, n, float(mse[n - 1]) ** 0.5, 1 - float(mse[n - 1]) / spread if spread else None) for n in trees]
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = [r for part in pool.map(score, [(d, r) for d in depths for r in rates]) for r in part]
-    return spark.createDataFrame(rows, "max_depth int, learning_rate double, n_estimators int, rmse double, r2 double")
+    fits = [
+        Fit(f"{d}|{r}", ~test, test, tuple(features),
+            **_boosted_params({**(base_params or {}), "max_depth": d, "learning_rate": r, "n_estimators": max(trees)}))
+        for d in depths for r in rates
+    ]
+    scores = fit_scores(df, fits, label, key_hash, trees).filter(F.col("part") == "judge")
+    at = F.split("fit", "[|]")
+    return scores.select(at[0].cast("int").alias("max_depth"), at[1].cast("double").alias("learning_rate"),
+                         F.col("trees").alias("n_estimators"), "rmse", "r2")
+
+
+def feature_ablation(df: DataFrame, test: Column, features: Sequence[str], label: str, key_hash: Column,
+                     params: dict | None = None) -> DataFrame:
+    """R² on the test rows with all features, and without each: ``dropped_feature``, ``r2``, ``r2_drop``."""
+    sets = {"(none)": tuple(features)} | {f: tuple(c for c in features if c != f) for f in features}
+    fits = [Fit(name, ~test, test, used, **_boosted_params(params)) for name, used in sets.items()]
+    scores = fit_scores(df, fits, label, key_hash).filter(F.col("part") == "judge")
+    scores = materialize(scores.select(F.col("fit").alias("dropped_feature"), "r2"))  # a row per fit
+    whole = scores.filter(F.col("dropped_feature") == "(none)").agg(F.max("r2")).scalar()
+    return scores.withColumn("r2_drop", whole - F.col("r2"))

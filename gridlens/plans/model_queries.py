@@ -202,44 +202,27 @@ def q_iteration_curve(spark, sf_dir):
     return rounded(models.iteration_curve(spark, model, _train(data), _test(data), "squared"))
 
 
+def _key_hash():
+    return stable_hash(7, *CELL_KEYS)
+
+
+def _is_test():
+    return F.col("split") == "test"
+
+
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    pipe = models.gbt_regression_pipeline(CELL_X, CELL_Y)
-    key_hash = stable_hash(7, *CELL_KEYS)
-    return rounded(models.learning_curve(spark, _train(data), pipe, CELL_Y, key_hash))
+    return rounded(models.learning_curve(_train(data), CELL_X, CELL_Y, _key_hash()))
 
 
 @register("param_grid")
 def q_param_grid(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    return rounded(models.param_grid_search(spark, _train(data), _test(data), CELL_X, CELL_Y, **GRID))
+    return rounded(models.param_grid_search(data, _is_test(), CELL_X, CELL_Y, _key_hash(), **GRID))
 
 
 @register("feature_ablation")
 def q_feature_ablation(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
-    train, test = _train(data), _test(data)
-
-    def r2(features):
-        model = models.gbt_regression_pipeline(features, CELL_Y).fit(train)
-        m = metrics.regression_metrics(model.transform(test), CELL_Y, "prediction", with_median=False)
-        return m.first()["r2"]
-
-    # independent fits: submit them as concurrent Spark jobs
-    from concurrent.futures import ThreadPoolExecutor
-
-    sets = [CELL_X] + [[c for c in CELL_X if c != f] for f in CELL_X]
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        scores = list(pool.map(r2, sets))
-    # R² is undefined (NULL) when the test labels are constant
-    def num(x):
-        return None if x is None else float(x)
-
-    base = num(scores[0])
-    rows = [("(none)", base, 0.0 if base is not None else None)]
-    for f, v in zip(CELL_X, scores[1:]):
-        v = num(v)
-        rows.append((f, v, None if base is None or v is None else base - v))
-    out = spark.createDataFrame(rows, "dropped_feature string, r2 double, r2_drop double")
-    return rounded(out)
+    return rounded(models.feature_ablation(data, _is_test(), CELL_X, CELL_Y, _key_hash()))

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,24 @@ SCALE_DEFAULTS = {
 }
 
 
+# Applications whose executors have this package.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Before functions of this package run in tasks: hand its code to the executors, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gridlens-ship-")) / "gridlens-code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "gridlens",
