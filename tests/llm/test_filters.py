@@ -244,14 +244,72 @@ def test_pseudo_likelihood_is_a_distribution_and_learns():
     rng = random.Random(3)
     texts = ["the red fox runs over the green hill and the blue river " * 3 for _ in range(200)]
     words = sorted({w for t in texts for w in mlm.split(t)})
-    net, ids = mlm.Network(), mlm.Ids(words)
-    around, target, _ = mlm.windows(ids, texts)
+    size = 1 + len(words) + mlm.BUCKETS
+    net, ids = mlm.Network(mlm.Code([1] * size)), mlm.Ids(words)
+    around, target, _ = mlm.windows([mlm.numbers_of(ids, t) for t in texts])
     first = net.pass_(around, target, False).mean()
     for _ in range(60):
         net.pass_(around, target, True)
     assert net.pass_(around, target, False).mean() > first + 2
     shuffled = [" ".join(rng.sample(t.split(), len(t.split()))) for t in texts]
-    a, t, _ = mlm.windows(ids, shuffled)
+    a, t, _ = mlm.windows([mlm.numbers_of(ids, x) for x in shuffled])
     assert net.pass_(a, t, False).mean() < net.pass_(around, target, False).mean() - 0.5
-    whole = sum(np.exp(net.pass_(np.repeat(around[:1], mlm.SIZE, 0), np.arange(mlm.SIZE), False)))
+    whole = sum(np.exp(net.pass_(np.repeat(around[:1], size, 0), np.arange(size), False)))
     assert abs(whole - 1) < 1e-3
+
+
+def plain_log_prob(net, around, target):
+    """The network's formula word by word."""
+    p, code = net.parts, net.code
+    out = []
+    for ctx, word in zip(around, target, strict=True):
+        h = np.append(np.tanh(sum(p["E"][o][w].astype(float) for o, w in enumerate(ctx))), 1)
+        way = range(code.start[word], code.start[word + 1])
+        out.append(sum(-np.log(1 + np.exp(-code.sign[i] * float(h @ p["U"][code.node[i]]))) for i in way))
+    return np.array(out)
+
+
+def test_frequent_words_have_short_ways_and_all_words_sum_to_one():
+    code = mlm.Code([50, 1, 1, 20, 0, 7])
+    steps = np.diff(code.start)
+    assert steps.argmin() == 0 and steps[4] == steps.max()
+    assert sum(2.0**-steps) == 1
+    net = mlm.Network(code)
+    around = np.repeat([[1, 2, 3, 0]], 6, 0)
+    assert abs(np.exp(net.pass_(around, np.arange(6), False)).sum() - 1) < 1e-5
+    assert np.allclose(net.pass_(around, np.arange(6), False), plain_log_prob(net, around, np.arange(6)), atol=1e-5)
+
+
+def test_pseudo_likelihood_equals_a_plain_sum(spark):
+    docs = table(spark, [(i, t) for i, t in pairs(table(spark)) if t is None or len(t) < 700])
+    src = docs.selectExpr("doc_id", "coalesce(text, '') AS text")
+    vocab = mlm.vocabulary(mlm.word_counts(src))
+    total = sum(len(mlm.split(t or "")) for _, t in pairs(docs))
+    flat = mlm.trained(mlm.encoded(src, vocab), total, vocab, mlm.started(src, vocab))
+    net, ids = mlm.Network(vocab.code, flat), mlm.Ids(vocab.words)
+    n = {r["word"]: r["n"] for r in mlm.word_counts(src).collect()}
+    got = {(r["doc_id"], r["n_words"]): r["log_prob"] for r in mlm.query(docs).collect()}
+    for i, t in pairs(docs)[:12]:
+        around, target, _ = mlm.windows([mlm.numbers_of(ids, t or "")])
+        rare = sum(np.log(n[w]) for w in mlm.split(t or "") if w not in vocab.words)
+        want = plain_log_prob(net, around, target).sum() + vocab.share[target].sum() + rare
+        assert abs(got[i, len(target)] - want) < 1e-3 * max(1, abs(want))
+
+
+def test_pseudo_likelihood_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(mlm, "GROUP_WORDS", 4000)
+    docs = table(spark)
+    rows = [sorted((str(r["doc_id"]), r["n_words"], r["log_prob"]) for r in mlm.query(docs.repartition(n)).collect()) for n in (1, 5)]
+    for a, b in zip(*rows, strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-4 * max(1, abs(a[2]))
+
+
+def test_copies_are_averaged_by_their_words(spark, monkeypatch):
+    monkeypatch.setattr(mlm, "FAN_IN", 2)
+    rng = np.random.default_rng(2)
+    copies = [(g, c, 10 + g, rng.normal(size=4).astype(np.float32)) for g in range(5) for c in range(3)]
+    df = spark.createDataFrame([(g, c, n, bytearray(x.tobytes())) for g, c, n, x in copies], "g long, chunk long, n long, part binary")
+    got = {r["chunk"]: np.frombuffer(r["part"], np.float32) for r in mlm._averaged(df, 5).collect()}
+    for c in range(3):
+        want = np.average([x for _, k, _, x in copies if k == c], axis=0, weights=[n for _, k, n, _ in copies if k == c])
+        assert np.allclose(got[c], want, atol=1e-6)
