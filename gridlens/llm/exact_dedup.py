@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.llm import fuse
-from gridlens.llm.common import prepare, stored, text_or_empty
+from gridlens.llm.common import prepare, small_side, stored, text_or_empty
 
 # Distinct digests per filter (about 1.2 bytes each).
 BUCKET_KEYS = 100_000
+# A digest of more rows is dealt to several parts.
+HOT_ROWS = 500
 
 
 def _key(sha: str) -> Column:
@@ -48,8 +50,11 @@ def snapshot_filters(distinct: DataFrame, n_buckets: int) -> DataFrame:
     return b.groupBy("bucket").applyInPandas(one, "bucket long, filter binary")
 
 
-def screened(incoming: DataFrame, filters: DataFrame, n_buckets: int) -> DataFrame:
-    """The distinct incoming digests that their bucket's filter lets pass."""
+def screened(incoming: DataFrame, filters: DataFrame, n_buckets: int, parts: int = 1) -> DataFrame:
+    """The distinct incoming digests that their bucket's filter lets pass.
+
+    A bucket's incoming digests are dealt to ``parts``, each beside a copy of the bucket's filter.
+    """
 
     def one(rows: pd.DataFrame, filt: pd.DataFrame) -> pd.DataFrame:
         if not len(filt) or not len(rows):
@@ -57,8 +62,24 @@ def screened(incoming: DataFrame, filters: DataFrame, n_buckets: int) -> DataFra
         hit = fuse.contains(filt["filter"].iloc[0], rows["key"].to_numpy().astype(np.uint64))
         return rows.loc[hit, ["sha"]]
 
-    left = _buckets(incoming, n_buckets).groupBy("bucket")
-    return left.cogroup(filters.groupBy("bucket")).applyInPandas(one, "sha string")
+    left = _buckets(incoming, n_buckets).withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parts)))
+    right = filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
+    return left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInPandas(one, "sha string")
+
+
+def _checked(texts: DataFrame, positive: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The distinct ``(sha, text)`` under the positive digests.
+
+    The rows of a digest with over ``HOT_ROWS`` of them are dealt to as many
+    parts as that takes, and each part's texts are combined before they meet.
+    """
+    hot = stored(sizes.where(F.col("n") > HOT_ROWS).select("sha", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("deal")), "hot-digests")
+    salt = F.pmod(F.monotonically_increasing_id(), F.coalesce("deal", F.lit(1))).cast("int")
+    rows = texts.withColumn("sha", F.sha2("text", 256)).join(small_side(hot, 200), "sha", "left").select("sha", "text", salt.alias("salt"))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("deal", F.lit(1)) - 1))
+    wanted = positive.join(hot, "sha", "left").select("sha", every.alias("salt"))
+    # by hash at any size: the texts are dealt out alike whether or not the digests would fit a broadcast
+    return rows.join(wanted.hint("shuffle_hash"), ["sha", "salt"], "left_semi").groupBy("sha", "text").count()
 
 
 def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,17 +91,16 @@ def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, id_col: str = "doc
     """
     prepare(batch.sparkSession)
     parts = [digests(s, id_col, text_col) for s in [*snapshots, batch]]
-    groups = [p.groupBy("sha").agg(F.count("*").alias("n")) for p in parts]
-    fresh = stored(groups[-1], "incoming")
+    groups = [stored(p.groupBy("sha").agg(F.count("*").alias("n")), "digest-counts") for p in parts]
+    fresh = groups[-1]
     positive = fresh.where("n > 1").select("sha")  # copies within the new batch
     sources: list[DataFrame] = []
     for old in groups[:-1]:
         # every earlier digest set is immutable: its filters are built once and stored
-        old = stored(old, "snapshot-digests")
         n_buckets = max(1, -(-old.count() // BUCKET_KEYS))
         filters = stored(snapshot_filters(old, n_buckets), "filters")
         for new in [*sources, fresh]:
-            passed = screened(new.select("sha"), filters, n_buckets)
+            passed = screened(new.select("sha"), filters, n_buckets, max(1, -(-new.count() // (n_buckets * BUCKET_KEYS))))
             positive = positive.union(passed.join(old.select("sha"), "sha"))
         positive = positive.union(old.where("n > 1").select("sha"))
         sources.append(old)
@@ -94,8 +114,10 @@ def exact_dedup(snapshots: list[DataFrame], batch: DataFrame, id_col: str = "doc
     for t in texts[1:]:
         every = every.unionByName(t)
     # byte check: each positive digest and the distinct texts under it
-    # (by hash at any size: the texts are dealt out alike whether or not the digests would fit a broadcast)
-    checked = every.withColumn("sha", F.sha2("text", 256)).join(positive.hint("shuffle_hash"), "sha", "left_semi").groupBy("sha", "text").count()
+    sizes = groups[0].select("sha", "n")
+    for g in groups[1:]:
+        sizes = sizes.unionByName(g.select("sha", "n"))
+    checked = _checked(every, positive, sizes.groupBy("sha").agg(F.sum("n").alias("n")))
     bad = stored(checked.groupBy("sha").agg(F.count("*").alias("texts")).where("texts > 1").select("sha"), "collisions")
     if bad.limit(1).count():
         raise ValueError("different texts share a SHA-256 digest")

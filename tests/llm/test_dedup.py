@@ -97,6 +97,23 @@ def test_exact_dedup_equals_grouping(spark):
     assert exact_dedup.query(empty(spark)).count() == 0
 
 
+def test_exact_dedup_of_a_large_batch_and_a_hot_digest(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_KEYS", 50)
+    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 20)
+    rows = [(i, "hot") for i in range(300)] + [(1000 + i, f"text {i % 700}") for i in range(1000)]
+    old, new = table(spark, rows[290:300] + rows[300:305]), table(spark, rows[:290] + rows[305:])
+    size, keep = Counter(t for _, t in rows), {}
+    for i, t in rows:
+        keep[t] = max(i, keep.get(t, -1))
+    got = sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup([old], new).collect())
+    assert got == sorted((i, keep[t], size[t], keep[t] == i) for i, t in rows)
+    # the batch is screened in many parts though the snapshot has one filter
+    filters = exact_dedup.snapshot_filters(exact_dedup.digests(old).select("sha").distinct(), 1)
+    incoming = exact_dedup.digests(new).select("sha").distinct()
+    one, many = (sorted(r["sha"] for r in exact_dedup.screened(incoming, filters, 1, n).collect()) for n in (1, 14))
+    assert one == many and hashlib.sha256(b"hot").hexdigest() in one
+
+
 def test_exact_dedup_over_several_snapshots(spark):
     docs = table(spark)
     parts = [docs.where("doc_id % 3 = 0"), docs.where("doc_id % 3 = 1"), docs.where("doc_id % 3 = 2 OR doc_id IS NULL")]
