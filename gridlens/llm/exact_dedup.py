@@ -63,7 +63,7 @@ def screened(incoming: DataFrame, filters: DataFrame, n_buckets: int, parts: int
         return rows.loc[hit, ["sha"]]
 
     left = _buckets(incoming, n_buckets).withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(parts)))
-    right = filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
+    right = filters.withColumn("part", F.explode(F.expr(f"sequence(0L, {parts - 1}L)")))
     return left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInPandas(one, "sha string")
 
 
