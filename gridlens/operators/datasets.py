@@ -169,12 +169,12 @@ def facility_features(rows: DataFrame, stamp=None) -> DataFrame:
     """One row per facility: 6 features + accessibility target."""
     place = [*CELL_KEYS, "Suburb"]
     pairs = rows.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
-    in_suburb = F.sum("_n").over(Window.partitionBy("Suburb"))
-    context = pairs.select(
-        *place,
-        F.when(F.col("Suburb").isNotNull(), in_suburb).alias("suburb_toilet_count"),
-        F.sum("_n").over(Window.partitionBy(*CELL_KEYS)).alias("grid_toilet_count"),
-    )
+    # (cell, suburb) pairs, not rows, are summed again; a missing suburb has no count
+    suburbs = pairs.filter(F.col("Suburb").isNotNull()).groupBy(F.col("Suburb").alias("_suburb")).agg(
+        F.sum("_n").alias("suburb_toilet_count"))
+    cells = pairs.groupBy(*CELL_KEYS).agg(F.sum("_n").alias("grid_toilet_count"))
+    context = join_null_safe(pairs.select(*place), cells, list(CELL_KEYS), "left").join(
+        suburbs, F.col("Suburb") == F.col("_suburb"), "left").drop("_suburb")
     known = join_null_safe(rows, context, place, "left").withColumn("_id", F.col("_id").cast("string"))
     return _stamped(known.select("_id", *CELL_KEYS, *FACILITY_FEATURES, FACILITY_TARGET), stamp)
 

@@ -42,8 +42,11 @@ def feature_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     q = quantiles_of_counts(counts, QUARTILES, ["feature"])
     wide = q.groupBy("feature").pivot("p", QUARTILES).agg(F.first("quantile"))
     wide = wide.select("feature", *[F.col(f"`{p}`").alias(f"p{int(p * 100)}") for p in QUARTILES])
-    return basic.join(spread, "feature").join(wide, "feature").select(
-        "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    # every feature has its row, with the count 0 if it has no value at all
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in present])).alias("feature"))
+    every = names.join(basic, "feature", "left").join(spread, "feature", "left").join(wide, "feature", "left")
+    return every.select(
+        "feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
 

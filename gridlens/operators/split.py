@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions.columns import HASH_BITS, stable_hash
 from gridlens.operators.ordered import join_null_safe
+from gridlens.session import materialize
 
 # Hash ranges that a class's hashes are counted in before ranks are looked at.
 RANGE_BITS = 16
@@ -65,7 +66,8 @@ def _thresholds(df: DataFrame, keys: Sequence[str], label: str, fraction: float,
     which the quota lies is looked at by single hashes.
     """
     low = HASH_BITS - RANGE_BITS
-    tagged = df.select(label, stable_hash(seed, *keys).alias("_h")).withColumn("_range", F.shiftright("_h", low))
+    # read by the ranges and again by the hashes inside them: each row's hash is computed once
+    tagged = materialize(df.select(label, stable_hash(seed, *keys).alias("_h")).withColumn("_range", F.shiftright("_h", low)))
     hist = tagged.groupBy(label, "_range").agg(F.count(F.lit(1)).alias("_n"))
     ordered = Window.partitionBy(label).orderBy("_range")  # 2^RANGE_BITS rows a class at most
     whole = Window.partitionBy(label)

@@ -3,8 +3,8 @@
 Plain Parquet has no MERGE, so an upsert is a pure function
 ``(current table, batch) -> next table``: union the two with a priority
 (batch over current; inside a batch, a later ``order`` wins) and keep rank 1 per
-key.  The result goes to a new folder (``streaming.incremental`` commits it),
-never over the path being read.  Rank-1 filters become a partial
+key.  The result goes to a new folder, never over the path being read
+(``streaming.incremental`` keeps the rows per key in Spark's state instead).  Rank-1 filters become a partial
 ``WindowGroupLimit`` before the shuffle, so a hot key ships one row per map
 task.  Re-applying the same batch gives the same table (idempotent).
 """
@@ -46,6 +46,17 @@ def upsert_latest(
     return both.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio")
 
 
+def best_row(columns: Sequence[str], keys: Sequence[str], version_col: str) -> Column:
+    """An aggregate: the row (a struct) with the highest version of its key, then the least in its other columns.
+
+    A row without a version loses to any with one; NULLs come last."""
+    rest = [F.col(f"`{c}`") for c in columns if c not in {*keys, version_col}]
+    rank = [F.col(f"`{version_col}`").isNull(), -F.col(f"`{version_col}`")]
+    for c in rest:
+        rank += [c.isNull(), c]
+    return F.min_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)]))
+
+
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row count (one aggregate)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

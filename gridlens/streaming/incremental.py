@@ -1,22 +1,19 @@
-"""Incremental load: new landed files are merged into a keyed table.
-
-Structured Streaming file source -> ``foreachBatch`` -> keyed upsert.
-``trigger(availableNow=True)`` processes everything landed so far and stops (a
-scheduled incremental job); the stream checkpoint makes it resume where it
-stopped.
-
-The table is a set of key-hash buckets.  A micro-batch rewrites only the buckets
-that its keys fall into, each write into a folder of its own, and then commits
-by appending rows ``(version, bucket, path)`` to the table's manifest.  The
-newest row of each bucket names its data, so a version is read from what was
-committed and never from a version number that is guessed: a lost stream
-checkpoint merges the landed files into the committed table once more (which
-changes nothing), and data that the manifest names but that cannot be read
-raises instead of starting from empty.
-
-Each record carries the number of the load it came from; the merge keeps the
-row from the highest load per key, so files arriving out of order do not let
-an older load overwrite a newer one.
+"""Incremental load: new landed files are merged into a keyed table by Spark's streaming state.
+
+A file stream is grouped by the key; the state of a key is its best row so far
+(a built-in aggregate, so the state lies in Spark's state store beside the
+stream's checkpoint).  The best row has the highest load number, so a file of
+an older load that arrives late changes nothing.  ``trigger(availableNow=True)``
+takes everything landed since the last run and stops; a run with nothing new
+writes nothing.
+
+Every micro-batch hands on only the keys whose best row may have changed.  They
+are written to a folder of the batch's own (``run=<id>/batch=<n>``), which the
+same batch overwrites if it runs again.  The table is the best row per key over
+these folders.  A run's id lies in its checkpoint: when that is lost, the stream
+begins a new run, reads all landed files again, and no folder of an earlier run
+is touched.  Set ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB
+provider where keys outgrow the executors' memory.
 """
 
 from __future__ import annotations
@@ -25,72 +22,40 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlens.operators.upsert import upsert_latest
+from gridlens.operators.upsert import best_row
 
-BUCKETS = 32
-_MANIFEST = "version long, bucket int, path string"
 
+def _newest(df: DataFrame, schema, keys: Sequence[str], load_col: str) -> DataFrame:
+    best = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(best_row(df.columns, keys, load_col).alias("_row"))
+    return best.select(*[F.col(f"_row.`{f.name}`") for f in schema])
 
-class KeyedTable:
-    """A bucketed table under ``root`` with a manifest of committed versions."""
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema, buckets: int = BUCKETS) -> None:
-        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
-        self.schema = spark.createDataFrame([], schema).schema
-
-    def _manifest(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        try:
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{self.root}/data")
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None  # nothing was ever written
+def _missing(read) -> bool:
+    try:
+        read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        raise FileNotFoundError(f"{self.root} holds data but its manifest is missing")
-
-    def committed(self) -> dict[int, tuple[int, str]]:
-        """bucket -> (version, path) of its newest committed data; one row per bucket."""
-        m = self._manifest()
-        if m is None:
-            return {}
-        newest = m.groupBy("bucket").agg(F.max(F.struct("version", "path")).alias("v")).select("bucket", "v.*")
-        return {r["bucket"]: (r["version"], r["path"]) for r in newest.collect()}
-
-    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The committed rows, of all buckets or those named; raises if data that was committed is gone."""
-        paths = [path for b, (_, path) in sorted(self.committed().items()) if buckets is None or b in set(buckets)]
-        return self._rows(paths)
-
-    def _rows(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def merge(self, batch: DataFrame, load_col: str, order: Sequence[Column] = ()) -> None:
-        """Upsert ``batch`` and commit the next version of the buckets it touches."""
-        batch = batch.select(*self.schema.names)
-        touched = sorted(r[0] for r in batch.select(self._bucket()).distinct().collect())  # ``buckets`` at most
-        if not touched:
-            return
-        now = self.committed()
-        before = self._rows([now[b][1] for b in touched if b in now])
-        after = upsert_latest(before, batch, self.keys, list(order), version_col=load_col)
-        path = f"{self.root}/data/{uuid.uuid4().hex}"
-        after.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(path)
-        version = max((v for v, _ in now.values()), default=-1) + 1
-        rows = [(version, b, f"{path}/_bucket={b}") for b in touched]
-        # one small file: it appears as a whole or not at all
-        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        return True
+    return False
+
+
+def _run_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id of the run that this checkpoint belongs to, new with a new checkpoint."""
+    path = f"{checkpoint_dir.rstrip('/')}/run-id"
+    if _missing(lambda: spark.read.text(path)):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def read_table(spark: SparkSession, table_root: str, schema, keys: Sequence[str], load_col: str) -> DataFrame:
+    """The table's rows: the best row of every key among the written changes; raises if there is no table."""
+    fields = spark.createDataFrame([], schema).schema
+    changes = spark.read.schema(fields).option("recursiveFileLookup", "true").parquet(table_root)
+    return _newest(changes, fields, keys, load_col)
 
 
 def incremental_upsert(
@@ -101,26 +66,37 @@ def incremental_upsert(
     schema,
     keys: Sequence[str],
     load_col: str,
-    order: Sequence[Column] = (),
     initial: DataFrame | None = None,
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Merge everything landed in ``landing_dir`` (Parquet) into the table at
-    ``table_root``; returns the committed rows.  ``initial`` is the table's
-    first version, taken when nothing is committed yet.  ``files_per_trigger``
-    bounds a micro-batch (unset, a run takes everything landed since the last)."""
-    table = KeyedTable(spark, table_root, keys, schema)
-    if initial is not None and not table.committed():
-        table.merge(initial, load_col, order)
-    reader = spark.readStream.schema(schema)
+    ``table_root``; returns the table's rows.  Of the rows of a key the one with
+    the highest load number wins, then the least in its other columns.
+    ``initial`` holds rows to begin a new table with.  ``files_per_trigger``
+    bounds a micro-batch (unset, a run takes everything landed since the last).
+    A table that a checkpoint has written to and that is gone raises."""
+    root, fields = table_root.rstrip("/"), spark.createDataFrame([], schema).schema
+    known = not _missing(lambda: spark.read.text(f"{checkpoint_dir.rstrip('/')}/run-id"))
+    if _missing(lambda: spark.read.schema(fields).option("recursiveFileLookup", "true").parquet(root)):
+        if known:
+            raise FileNotFoundError(f"the table {root} is gone, but its checkpoint is not")
+        first = spark.createDataFrame([], fields) if initial is None else initial.select(*fields.names)
+        first.write.parquet(f"{root}/run=initial/batch=0")
+    run = _run_id(spark, checkpoint_dir)
+    reader = spark.readStream.schema(fields)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/run={run}/batch={batch}")
+
     query = (
-        reader.parquet(landing_dir)
-        .writeStream.foreachBatch(lambda batch, _: table.merge(batch, load_col, order))
+        _newest(reader.parquet(landing_dir), fields, keys, load_col)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return table.read()
+    return read_table(spark, root, fields, keys, load_col)

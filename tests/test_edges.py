@@ -182,6 +182,41 @@ def test_metrics_on_empty_input_give_one_row(spark):
     assert metrics.auc_scores(e2, "label", "proba").first()["roc_auc"] == 0.0
 
 
+def test_metrics_without_any_label(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0)], "actual double, predicted double")
+    r = metrics.regression_metrics(df, "actual", "predicted").first()
+    assert r["n"] == 0 and r["rmse"] is None and r["median_ae"] is None
+
+
+def test_exact_quantiles_of_an_empty_table(spark):
+    from gridlens.operators.ordered import exact_quantiles
+
+    none = spark.createDataFrame([], "v double, g string")
+    assert exact_quantiles(none, "v", [0.5]).count() == 0
+    assert exact_quantiles(none, "v", [0.5], ["g"]).count() == 0
+
+
+def test_a_feature_without_values_keeps_its_row(spark):
+    from gridlens.operators.report import feature_statistics
+
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    rows = {r["feature"]: r for r in feature_statistics(df, ["a", "b"]).collect()}
+    assert rows["a"]["count"] == 2 and rows["a"]["p50"] == 2.0
+    assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None and rows["b"]["max"] is None
+    assert [r["count"] for r in feature_statistics(df.limit(0), ["a", "b"]).collect()] == [0, 0]
+
+
+def test_facilities_without_a_suburb_have_no_suburb_count(spark):
+    from gridlens.operators.datasets import facility_features
+
+    rows = spark.createDataFrame(
+        [(i, 1, 1, s, 0.5, 1, 2, 0, 1) for i, s in enumerate(["x", "x", None, None, None])],
+        "_id long, lat_bin long, lon_bin long, Suburb string, distance_to_center double, gender_encoded int, "
+        "category_encoded int, has_changing_place int, is_accessible int")
+    got = {r["_id"]: (r["suburb_toilet_count"], r["grid_toilet_count"]) for r in facility_features(rows).collect()}
+    assert got == {"0": (2, 5), "1": (2, 5), "2": (None, 5), "3": (None, 5), "4": (None, 5)}
+
+
 def test_pretty_printed_page_files(spark, tmp_path):
     import json
 
