@@ -41,8 +41,6 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -50,6 +48,39 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
+# The GNU licenses by name, version and identifier, and what their notices say.
+GNU = [
+    ("GPL-2.0", "General", "2"),
+    ("GPL-3.0", "General", "3"),
+    ("LGPL-2.1", "Lesser General", "2.1"),
+    ("LGPL-3.0", "Lesser General", "3"),
+    ("AGPL-3.0", "Affero General", "3"),
+]
+GNU_NOTICES = [
+    "This work is licensed under the GNU {family} Public License, version {version}.",
+    "This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {family} Public License "
+    "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+    "you can redistribute it and/or modify it under the terms of the GNU {family} Public License version {version} "
+    "as published by the Free Software Foundation",
+    "GNU {family} Public License version {version} only",
+    "GNU {family} Public License version {version} or later",
+]
+# Notices without a version count for the newest one; marked by "?", they yield to any that states a license in full.
+UNVERSIONED = [
+    ("GPL-3.0?", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License."),
+    ("LGPL-3.0?", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License."),
+]
+# Identifiers after "SPDX-License-Identifier:"; the GNU ones also end in -only and -or-later.
+IDENTIFIERS = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-1.1", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0"]
+TEMPLATES += [
+    (name, notice.format(thing=thing, family=family, version=version))
+    for name, family, version in GNU
+    for notice in GNU_NOTICES
+    for thing in (["program", "library"] if "{thing}" in notice else [""])
+]
+TEMPLATES += UNVERSIONED
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in IDENTIFIERS]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}{end}") for name, _, _ in GNU for end in ("", "-only", "-or-later")]
 # File names that state the license of their directory.
 LICENSE_FILES = ("LICENSE", "LICENCE", "COPYING")
 _TERM = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
@@ -140,9 +171,9 @@ class Templates:
                         dot += u.get(t, 0.0) * k * weight
                 if dot >= (self.threshold - 1e-9) * sqrt(known + loose):
                     out.append((dot / sqrt(known + loose), (name, at[s], dot, known, other)))
-        # a window whose cosine is known rules out those that cannot reach it
-        sure = max((c for c, w in out if not w[4]), default=0.0)
-        return [w for c, w in out if c >= sure - 1e-12]
+        # a window whose cosine is known rules out those that cannot reach it, and all that are vague
+        sure = max((c for c, w in out if not w[4] and not w[0].endswith("?") and c >= self.threshold), default=0.0)
+        return [w for c, w in out if c >= sure - 1e-12 and not (sure and w[0].endswith("?"))]
 
 
 def document_frequencies(src: DataFrame) -> DataFrame:
@@ -201,10 +232,10 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]], threshold:
     open_ = weighed.groupBy("rid", "pos", "license", "line", "dot", "known").agg(F.sum((F.col("o.k") * idf) ** 2).alias("loose"))
     cols = ["rid", "license", "line", (F.col("dot") / F.sqrt(F.col("known") + F.col("loose"))).alias("cosine")]
     scored = sure.select(*cols).unionByName(open_.select(*cols)).where(F.col("cosine") >= threshold)
-    # the best cosine; earlier lines, then names win ties
-    order = F.struct((-F.round("cosine", 12)).alias("c"), "line", "license", "cosine")
+    # the best cosine of those that are not vague; earlier lines, then names win ties
+    order = F.struct(F.endswith("license", F.lit("?")).alias("vague"), (-F.round("cosine", 12)).alias("c"), "line", "license", "cosine")
     best = scored.groupBy(F.col("rid").alias("brid")).agg(F.min(order).alias("b"))
-    found = some.join(best, F.col("rid") == F.col("brid"), "left").select("doc_id", "path", "b.license", "b.cosine", "b.line")
+    found = some.join(best, F.col("rid") == F.col("brid"), "left").select("doc_id", "path", F.rtrim("b.license", F.lit("?")).alias("license"), "b.cosine", "b.line")
     none = [F.lit(None).cast(t).alias(n) for n, t in (("license", "string"), ("cosine", "double"), ("line", "int"))]
     return found.unionByName(seen.where("rid IS NULL").select("doc_id", "path", *none))
 

@@ -160,11 +160,45 @@ def test_license_blocks_and_whole_texts(spark):
     assert not any(r["license"] for i, r in got.items() if i >= 100)
 
 
+def wrapped(text, width=70, mark="# "):
+    out, line = [], ""
+    for w in text.split():
+        if len(line) + len(w) > width:
+            out.append(mark + line)
+            line = ""
+        line = f"{line} {w}".strip()
+    return "\n".join([*out, mark + line])
+
+
+def test_gnu_headers_and_identifiers_keep_their_version(spark):
+    rng = random.Random(12)
+    later = (
+        "This {thing} is free software; you can redistribute it and/or modify it under the terms of the GNU {family} Public License "
+        "as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version."
+    )
+    rest = " This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY."
+    only = "you can redistribute it and/or modify it under the terms of the GNU {family} Public License version {v} as published by the Free Software Foundation."
+    rows = []
+    for name, family, v in licenses.GNU:
+        thing = "library" if name.startswith("L") else "program"
+        for notice in (later, later + rest, only, "GNU {family} Public License version {v} only", "Licensed under the GNU {family} Public License, version {v}."):
+            body = "Copyright (C) 2020 Some Body\n\n" + notice.format(thing=thing, family=family, v=v)
+            rows.append((name, wrapped(body) + "\n" + prose(rng, 60)))
+        rows += [(name, f"# SPDX-License-Identifier: {name}{end}\n" + prose(rng, 40)) for end in ("", "-only", "-or-later", "+")]
+    rows += [(name, f"/* SPDX-License-Identifier: {name} */\n" + prose(rng, 40)) for name in licenses.IDENTIFIERS]
+    plain = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License."
+    rows += [("GPL-3.0", wrapped(plain) + "\n" + prose(rng, 60)), (None, "SPDX-License-Identifier: Other-1.0\n" + prose(rng, 30))]
+    files = [(i, f"d{i}/f.txt", t) for i, (_, t) in enumerate(rows)] + [(100 + i, f"e{i}/f.txt", prose(rng, 90)) for i in range(40)]
+    got = {r["doc_id"]: r["license"] for r in licenses.license_scan(spark.createDataFrame(files, "doc_id long, path string, text string").repartition(3)).collect()}
+    assert {i: got[i] for i in range(len(rows))} == {i: name for i, (name, _) in enumerate(rows)}
+    assert not any(name for i, name in got.items() if i >= 100)
+
+
 def test_license_windows_equal_brute_force(spark):
     rng = random.Random(6)
     words = "licensed released under the mit license cc by 4.0 stone of river and terms".split()
     rows = [(i, f"{i}/x", " ".join(rng.choice(words) + rng.choice(["", "", ",", "\n"]) for _ in range(rng.randint(0, 25)))) for i in range(150)]
-    templates = licenses.TEMPLATES[:2] + licenses.TEMPLATES[-4:-3]
+    templates = licenses.TEMPLATES[:2] + [x for x in licenses.TEMPLATES if x[0] == "CC-BY-4.0"][:1]
     n = len(rows)
     df = {}
     for _, _, t in rows:
