@@ -27,6 +27,8 @@ LEVEL = 3
 # of a text that is taken into the sample.
 SAMPLE_ROWS = 1500
 SAMPLE_BYTES = 65_536
+# Blocks of the sample that a dictionary is trained on at most, spread evenly over its texts.
+DICT_BLOCKS = 6000
 # A short text is taken as if this many bytes of typically good text stood before it.
 PRIOR_BYTES = 128
 PRIOR_DIFFERENCE = 0.05
@@ -48,7 +50,9 @@ def _blocks(data: bytes) -> list[bytes]:
 
 def _dictionary(texts: list[bytes]) -> bytes:
     """A trained dictionary, or the plain text where there is too little to train on."""
-    samples = [b for t in texts for b in _blocks(t)][: 4 * SAMPLE_ROWS]
+    blocks = [b for t in texts for b in _blocks(t)]
+    n = min(len(blocks), DICT_BLOCKS)
+    samples = [blocks[i * len(blocks) // n] for i in range(n)]  # evenly over all texts
     try:
         return zs.train_dictionary(DICT_BYTES, samples).as_bytes()
     except (zs.ZstdError, ValueError):
