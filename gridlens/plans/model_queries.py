@@ -14,7 +14,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from gridlens.functions.columns import stable_hash
-from gridlens.operators import datasets, metrics, models, report, split
+from gridlens.operators import datasets, metrics, models, networks, report, split
 from gridlens.plans.facility_queries import cell_rows, facility_rows
 from gridlens.plans.oracle_sql import with_ctes
 from gridlens.plans.registry import register, rounded
@@ -210,6 +210,23 @@ def _is_test():
     return F.col("split") == "test"
 
 
+@register("nn_classifier_epochs")
+def q_nn_classifier_epochs(spark, sf_dir):
+    data = facility_model_data(spark, sf_dir).drop("split")
+    data = split.nested_split(data, ["_id"], stratify=FAC_Y)  # train / valid / test
+    side = lambda name: F.col("split") == name
+    settings = networks.Settings("classes", dropout=0.1)
+    return rounded(networks.epoch_curve(data, FAC_X, FAC_Y, stable_hash(11, "_id"), side("train"), side("valid"), settings))
+
+
+@register("nn_regression_epochs")
+def q_nn_regression_epochs(spark, sf_dir):
+    data = cell_model_data(spark, sf_dir)
+    side = lambda name: F.col("split") == name
+    settings = networks.Settings("numbers")
+    return rounded(networks.epoch_curve(data, CELL_X, CELL_Y, _key_hash(), side("train"), side("valid"), settings))
+
+
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     data = cell_model_data(spark, sf_dir)
