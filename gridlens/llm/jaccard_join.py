@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest, xxh128_digest
 
-from gridlens.llm.common import prepare, rows_of, shuffle_width, small_side, stored, text_or_empty
+from gridlens.llm.common import prepare, rows_of, shuffle_width, stored, text_or_empty
 from gridlens.llm.components import components
 
 WORDS = 3
@@ -35,8 +35,6 @@ PART = 512
 # DivideSkip's share of long lists, and the largest merge left to the heap.
 MU = 0.0085
 HEAP_ENTRIES = 2048
-# A side of a join is broadcast if its counted rows take no more than this.
-BROADCAST_BYTES = 32 << 20
 
 
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -310,10 +308,10 @@ def jaccard_groups(
     sigs = signatures(full)
     shared = sigs.groupBy("sig").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first < last")
     shared = stored(shared.select("sig", "first"), "shared-parts")
-    near = sigs.join(small_side(shared, 80, BROADCAST_BYTES), "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
+    near = sigs.join(shared, "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
     blocks = components(near).select(F.col("node").alias("d1"), F.col("root").alias("block"))
     inside = stored(kinds.join(blocks, "d1").select("tk", "sid", "block"), "in-blocks")
-    members = stored(block_members(docs, small_side(inside, 160, BROADCAST_BYTES), words, text_col), "block-members")
+    members = stored(block_members(docs, inside, words, text_col), "block-members")
     links = _forests(_tiles(members, part), percent)
     roots = components(links)
     rooted = stored(kinds.join(roots, F.col("sid") == F.col("node"), "left").select("d1", "d2", "low", F.coalesce("root", "sid").alias("root")), "rooted")

@@ -188,7 +188,6 @@ def near_copies(seed=8):
 @pytest.mark.parametrize("percent,part,heap", [(90, 2048, 2048), (80, 3, 0)])
 def test_jaccard_join_equals_brute_force(spark, monkeypatch, percent, part, heap):
     monkeypatch.setattr(jaccard_join, "HEAP_ENTRIES", heap)
-    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", heap << 14)
     rows = pairs(table(spark)) + near_copies()
     docs = table(spark, rows)
     got = sorted(map(tuple, jaccard_join.jaccard_groups(docs, percent, part=part).collect()), key=repr)
