@@ -207,10 +207,10 @@ UNION ALL SELECT 'grid_cells', count(*) FROM (SELECT DISTINCT floor("Latitude" /
 UNION ALL SELECT 'suburbs', count(*) FROM (SELECT DISTINCT "Suburb", "Postcode" FROM fac_density) t"""),
 )
 def q_stage_counts(spark, sf_dir):
-    # the raw rows are read once; every stage counts from that copy
+    # the raw rows are read and the density rows cleaned once; later stages count from these copies
     raw = materialize(tables.facility_raw(spark, sf_dir))
     fac = normalize.normalize_facilities(raw)
-    dens = density.density_features(clean.clean(fac, "density"))
+    dens = materialize(density.density_features(clean.clean(fac, "density")))
     return report.stage_counts(
         {
             "raw": raw,
