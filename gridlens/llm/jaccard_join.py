@@ -162,7 +162,7 @@ def signatures(sets: DataFrame) -> DataFrame:
 def block_members(docs: DataFrame, inside: DataFrame, words: int, text_col: str) -> DataFrame:
     """``(sid, block, h)``: the shingle sets of the classes in a block, cut again from one text each."""
     texts = _texts(docs.select(F.col(text_col).alias("t_")), "t_").select("text", "tk")
-    one = texts.join(inside, "tk").groupBy("sid", "block").agg(F.min("text").alias("text"))  # copies meet before they travel
+    one = texts.join(inside.hint("merge"), "tk").groupBy("sid", "block").agg(F.min("text").alias("text"))  # copies meet before they travel
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -308,7 +308,8 @@ def jaccard_groups(
     sigs = signatures(full)
     shared = sigs.groupBy("sig").agg(F.min("d1").alias("first"), F.max("d1").alias("last")).where("first < last")
     shared = stored(shared.select("sig", "first"), "shared-parts")
-    near = sigs.join(shared, "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
+    # both sides grow with the documents: one plan at every size, whatever a small table's size would allow
+    near = sigs.join(shared.hint("merge"), "sig").where("d1 != first").select(F.col("d1").alias("a"), F.col("first").alias("b"))
     blocks = components(near).select(F.col("node").alias("d1"), F.col("root").alias("block"))
     inside = stored(kinds.join(blocks, "d1").select("tk", "sid", "block"), "in-blocks")
     members = stored(block_members(docs, inside, words, text_col), "block-members")
