@@ -9,8 +9,9 @@ stretches (at most partitions + groups rows) gives what lies ahead of it.  The
 exchange samples the data for its range borders; the sums are exact.
 
 Everything that needs a global order is built on it: rank-sum ROC-AUC, PR and
-ROC curves, the best-F1 threshold, exact quantiles (linear interpolation) and
-the frequency-ordered index.
+ROC curves, the best-F1 threshold, exact quantiles per group (linear
+interpolation) and the frequency-ordered index.  Quantiles of whole columns come
+from ``selection``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlens.operators.selection import column_quantiles
 from gridlens.session import materialize
 
 
@@ -93,7 +95,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group
     """Exact quantiles with linear interpolation (the pandas / numpy default):
     position h = (n - 1) p, value = v[floor h] + (h - floor h)(v[ceil h] - v[floor h]).
 
-    Returns one row per (group, p): ``group..., p, quantile``.  NULLs are ignored."""
+    Returns one row per (group, p): ``group..., p, quantile``.  NULLs are ignored.
+    Without groups the values are counted by their bits and never exchanged."""
+    if not group_cols:
+        values = materialize(df.select(F.col(value_col).cast("double").alias("v")))  # four passes read it
+        return column_quantiles(values, ["v"], probs).drop("feature")
     return quantiles_of_counts(stretched_counts(df, value_col, group_cols), probs, group_cols)
 
 

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlens.functions.columns import field_text
-from gridlens.operators.ordered import join_null_safe, prefix_sums, quantiles_of_counts, stretched_counts
+from gridlens.operators.ordered import prefix_sums
+from gridlens.operators.selection import column_quantiles
 from gridlens.session import materialize
 
 QUARTILES = [0.25, 0.5, 0.75]
@@ -23,31 +24,18 @@ def feature_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """describe(): count, mean, std (sample), min, 25/50/75 % (linear
     interpolation, exact), max — one row per feature.
 
-    The input is read once, into the counts of each feature's distinct values;
-    moments and quantiles both come from that table."""
+    The features are stored once, side by side: no row is exploded and no value
+    exchanged.  One aggregate gives the moments, four counting passes the quartiles."""
     present = [c for c in cols if c in df.columns]
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in present])
-    long = df.select(F.explode(pairs).alias("kv")).select("kv.feature", "kv.value")
-    counts = stretched_counts(long, "value", ["feature"])
-    basic = counts.groupBy("feature").agg(
-        F.sum("_n").alias("count"),
-        (F.sum(F.col("_v") * F.col("_n")) / F.sum("_n")).alias("mean"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-    )
-    apart = F.col("_v") - F.col("mean")
-    spread = join_null_safe(counts, basic.select("feature", "mean", "count"), ["feature"]).groupBy("feature").agg(
-        F.sqrt(F.sum(F.col("_n") * apart * apart) / F.nullif(F.first("count") - 1, F.lit(0))).alias("std")
-    )
-    q = quantiles_of_counts(counts, QUARTILES, ["feature"])
-    wide = q.groupBy("feature").pivot("p", QUARTILES).agg(F.first("quantile"))
-    wide = wide.select("feature", *[F.col(f"`{p}`").alias(f"p{int(p * 100)}") for p in QUARTILES])
-    # every feature has its row, with the count 0 if it has no value at all
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in present])).alias("feature"))
-    every = names.join(basic, "feature", "left").join(spread, "feature", "left").join(wide, "feature", "left")
-    return every.select(
-        "feature", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    values = materialize(df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in present]))
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = values.agg(*[F.struct(*[f(F.col(f"`{c}`")).alias(m) for m, f in moments.items()]).alias(c) for c in present])
+    # one row: a struct per feature, every feature has its row, with the count 0 if it has no value at all
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"`{c}`").getField(m).alias(m) for m in moments]) for c in present])
+    basic = wide.select(F.inline(rows))
+    q = column_quantiles(values, present, QUARTILES).groupBy("feature").pivot("p", QUARTILES).agg(F.first("quantile"))
+    q = q.select("feature", *[F.col(f"`{p}`").alias(f"p{int(p * 100)}") for p in QUARTILES])
+    return basic.join(q, "feature", "left").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def _exact_text(c: Column, dtype: T.DataType) -> Column:
