@@ -98,8 +98,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], group
     Returns one row per (group, p): ``group..., p, quantile``.  NULLs are ignored.
     Without groups the values are counted by their bits and never exchanged."""
     if not group_cols:
-        values = materialize(df.select(F.col(value_col).cast("double").alias("v")))  # four passes read it
-        return column_quantiles(values, ["v"], probs).drop("feature")
+        return column_quantiles(df.select(F.col(value_col).cast("double").alias("v")), ["v"], probs).drop("feature")
     return quantiles_of_counts(stretched_counts(df, value_col, group_cols), probs, group_cols)
 
 
