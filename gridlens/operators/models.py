@@ -38,6 +38,8 @@ GBT_CLASSIFIER_DEFAULTS = {"n_estimators": 200, "max_depth": 5, "learning_rate":
                            "subsample": 0.9, "colsample_bytree": 0.9, "random_state": 42}
 MLP_HIDDEN = [64, 64]
 MLP_MAX_ITER = 30
+# Rows of a training task, about: so many at least before another core is used, so many at most.
+LEAST_ROWS, MOST_ROWS = 16_384, 262_144
 
 
 def merge_params(defaults: dict, given: dict | None) -> dict:
@@ -96,6 +98,18 @@ def frequency_index(df: DataFrame, keys: Sequence[str] = ("lat_bin", "lon_bin"),
     return join_null_safe(df, index, list(keys), "left")
 
 
+def dealt_out(df: DataFrame) -> DataFrame:
+    """A table that every iteration of a fit reads: stored, and in equal parts over all cores.
+
+    A join by class leaves the rows in as many parts as there are classes, and each pass
+    over them runs in so many tasks.  A table that fits one part stays as it lies."""
+    df = materialize(df)
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    if rows <= LEAST_ROWS:
+        return df
+    return materialize(df.repartition(min(-(-rows // LEAST_ROWS), cores * -(-rows // (cores * MOST_ROWS)))))
+
+
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 

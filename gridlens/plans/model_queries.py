@@ -18,7 +18,6 @@ from gridlens.operators import datasets, metrics, models, networks, report, spli
 from gridlens.plans.facility_queries import cell_rows, facility_rows
 from gridlens.plans.oracle_sql import with_ctes
 from gridlens.plans.registry import register, rounded
-from gridlens.session import materialize
 
 CELL_KEYS = list(datasets.CELL_KEYS)
 CELL_X = datasets.CELL_FEATURES
@@ -63,13 +62,13 @@ def cell_model_data(spark, sf_dir):
     # sums of doubles differ in the last bits with the order of rows: model
     # inputs are rounded, so equal data has equal inputs and an equal run id.
     # read once per boosting iteration: cut the lineage to the feature rows
-    return materialize(split.nested_split(rounded(prep), CELL_KEYS))
+    return models.dealt_out(split.nested_split(rounded(prep), CELL_KEYS))
 
 
 def facility_model_data(spark, sf_dir):
     fac = datasets.facility_features(facility_rows(spark, sf_dir))
     prep = datasets.prepare(fac, FAC_X, FAC_Y, keys=["_id"], integer_target=True)
-    return materialize(split.stratified_split(rounded(prep), ["_id"], FAC_Y))
+    return models.dealt_out(split.stratified_split(rounded(prep), ["_id"], FAC_Y))
 
 
 def _train(df):
@@ -137,7 +136,7 @@ def q_logreg_baseline_metrics(spark, sf_dir):
         F.col("has_changing_place").cast("double").alias("has_changing_place"),
         F.col(FAC_Y).cast("int").alias(FAC_Y),
     )
-    data = materialize(split.stratified_split(rows, ["_id"], FAC_Y))
+    data = models.dealt_out(split.stratified_split(rows, ["_id"], FAC_Y))
     pipe = models.logreg_baseline_pipeline(["distance_to_center", "gender_encoded"], ["Group", "Category"],
                                            ["has_changing_place"], FAC_Y)
     return _classifier_report(fit(spark, pipe, _train(data), "logreg_baseline"), data)
@@ -154,7 +153,7 @@ def q_class_weighted_gbt_metrics(spark, sf_dir):
 @register("gbt_early_stopping")
 def q_gbt_early_stopping(spark, sf_dir):
     data = facility_model_data(spark, sf_dir)
-    data = split.nested_split(data.drop("split"), ["_id"], stratify=FAC_Y)  # train / valid / test
+    data = models.dealt_out(split.nested_split(data.drop("split"), ["_id"], stratify=FAC_Y))  # train / valid / test
     fit_on = data.filter(F.col("split") != "test").withColumn("is_valid", F.col("split") == "valid")
     model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y, validation_col="is_valid"), fit_on,
                 "gbt_early_stopping")
@@ -213,7 +212,7 @@ def _is_test():
 @register("nn_classifier_epochs")
 def q_nn_classifier_epochs(spark, sf_dir):
     data = facility_model_data(spark, sf_dir).drop("split")
-    data = split.nested_split(data, ["_id"], stratify=FAC_Y)  # train / valid / test
+    data = models.dealt_out(split.nested_split(data, ["_id"], stratify=FAC_Y))  # train / valid / test
     side = lambda name: F.col("split") == name
     settings = networks.Settings("classes", dropout=0.1)
     return rounded(networks.epoch_curve(data, FAC_X, FAC_Y, stable_hash(11, "_id"), side("train"), side("valid"), settings))

@@ -101,3 +101,34 @@ def test_a_saved_model_that_cannot_be_read_raises(spark, tmp_path):
     (tmp_path / "r").rename(tmp_path / "away")
     with pytest.raises(Exception):
         models.fit_cached(pipe, data, str(tmp_path), "r")
+
+
+def test_two_classes_train_in_more_than_two_tasks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from gridlens.operators import models, split
+
+    monkeypatch.setattr(models, "LEAST_ROWS", 100)
+    df = spark.range(0, 2000, 1, 3).select("id", (F.col("id") % 2).alias("y"))
+    by_class = split.class_weights(split.stratified_split(df, ["id"], "y"), "y")
+    n = min(20, spark.sparkContext.defaultParallelism)
+    sizes = lambda data: [r["n"] for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    dealt = models.dealt_out(by_class)
+    assert len(sizes(dealt)) == n and max(sizes(dealt)) <= 2000 / n + n and dealt.count() == 2000
+    assert dealt.exceptAll(by_class).isEmpty()
+    monkeypatch.setattr(models, "LEAST_ROWS", 2000)
+    assert models.dealt_out(df).rdd.getNumPartitions() == 3
+
+
+@pytest.mark.parametrize("name", ["facility_model_data", "cell_model_data"])
+def test_model_rows_lie_in_equal_parts(spark, monkeypatch, name):
+    from pyspark.sql import functions as F
+
+    from gridlens.operators import models
+    from gridlens.plans import model_queries
+
+    monkeypatch.setattr(models, "LEAST_ROWS", 16)
+    data = getattr(model_queries, name)(spark, SF)
+    sizes = [r["n"] for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    most = max(sizes)
+    assert len(sizes) == min(-(-sum(sizes) // 16), spark.sparkContext.defaultParallelism) and most - min(sizes) <= most / 2 + 3
