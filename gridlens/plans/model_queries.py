@@ -144,7 +144,7 @@ def q_logreg_baseline_metrics(spark, sf_dir):
 
 @register("class_weighted_gbt_metrics")
 def q_class_weighted_gbt_metrics(spark, sf_dir):
-    data = split.class_weights(facility_model_data(spark, sf_dir), FAC_Y)
+    data = models.dealt_out(split.class_weights(facility_model_data(spark, sf_dir), FAC_Y))
     model = fit(spark, models.gbt_classifier_pipeline(FAC_X, FAC_Y, weight_col="weight"), _train(data),
                 "gbt_classifier_weighted")
     return _classifier_report(model, data)

@@ -132,3 +132,21 @@ def test_model_rows_lie_in_equal_parts(spark, monkeypatch, name):
     sizes = [r["n"] for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     most = max(sizes)
     assert len(sizes) == min(-(-sum(sizes) // 16), spark.sparkContext.defaultParallelism) and most - min(sizes) <= most / 2 + 3
+
+
+def test_weighted_rows_are_dealt_out_again(spark, monkeypatch):
+    from gridlens.operators import models
+    from gridlens.plans import model_queries
+
+    class Seen(Exception):
+        pass
+
+    def fit(_spark, _pipeline, train, _tag):
+        raise Seen(train.rdd.getNumPartitions(), train.columns)
+
+    monkeypatch.setattr(models, "LEAST_ROWS", 16)
+    monkeypatch.setattr(model_queries, "fit", fit)
+    with pytest.raises(Seen) as seen:
+        E.queries()["class_weighted_gbt_metrics"](spark, SF)
+    parts, columns = seen.value.args
+    assert parts > 2 and "weight" in columns  # more than there are classes
