@@ -20,6 +20,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
@@ -37,6 +38,8 @@ UNIT = 2.0**30  # logarithms are summed in whole parts of this, alike in any ord
 WIDTH = 16
 OFFSETS = (-2, -1, 1, 2)
 STEP_WORDS = 16_384
+# Pulls that are summed at a time: few enough to stay in a core's cache.
+PULLS = 4096
 # Words that a trained copy sees, about.
 GROUP_WORDS = 4_000_000
 RATE = 0.08
@@ -44,8 +47,8 @@ RATE = 0.08
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_ROUNDS = 300, 16_384, 3
 # Parts of so many numbers of so many trained copies are averaged at a time.
 FAN_IN, CHUNK = 32, 65_536
-# Word counts that a task holds before it hands them on; ids that it remembers.
-HELD = 300_000
+# Words that a task holds before it counts them; endings that it remembers.
+HELD, ENDINGS = 3_000_000, 100_000
 
 
 def split(text: str) -> list[str]:
@@ -57,18 +60,23 @@ def bucket(word: str) -> int:
 
 
 class Ids(dict):
-    """Word -> number; words out of the vocabulary by their ending."""
+    """Word -> number for the vocabulary; the other words' numbers go by their ending."""
 
     def __init__(self, words: list[str]) -> None:
         super().__init__((w, i) for i, w in enumerate(words, 1))
-        self.words = words
+        self.endings: dict[str, int] = {}
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > HELD:
-            self.clear()
-            self.update((w, i) for i, w in enumerate(self.words, 1))
-        n = self[word] = 1 + len(self.words) + bucket(word)
-        return n
+    def of(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The words' numbers, and the words out of the vocabulary, in their order."""
+        out = np.fromiter(map(self.get, words, repeat(0)), np.uint16, len(words))
+        at = np.flatnonzero(out == 0)
+        others = [words[i] for i in at.tolist()]
+        ends = [w[-3:] for w in others]
+        if len(self.endings) > ENDINGS:
+            self.endings.clear()
+        self.endings.update((e, 1 + len(self) + bucket(e)) for e in set(ends).difference(self.endings))
+        out[at] = [self.endings[e] for e in ends]
+        return out, others
 
 
 class Code:
@@ -108,14 +116,19 @@ def word_counts(src: DataFrame) -> DataFrame:
     """``(word, n)`` over all texts of ``src`` (``text``), counted within each task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
+        def counted(held: list[pa.Array]) -> pa.RecordBatch:
+            c = pa.chunked_array(held, pa.string()).value_counts()
+            return pa.RecordBatch.from_arrays([c.field("values"), c.field("counts")], ["word", "n"])
+
+        held, size = [], 0
         for b in batches:
             for t in b.column(0):
-                c.update(split(t.as_py()))
-                if len(c) > HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c)), pa.array(list(c.values()), pa.int64())], ["word", "n"])
-                    c = Counter()
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
+                held.append(pa.array(split(t.as_py()), pa.string()))
+                size += len(held[-1])
+                if size > HELD:
+                    yield counted(held)
+                    held, size = [], 0
+        yield counted(held)
 
     return src.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -141,7 +154,7 @@ class Network:
 
     def __init__(self, code: Code, flat: np.ndarray | None = None) -> None:
         self.code, self.size = code, len(code.start) - 1
-        self.steps = np.diff(code.start)
+        self.steps = np.diff(code.start).astype(np.uint16)
         self.shapes = {"E": (len(OFFSETS), self.size, WIDTH), "U": (self.size - 1, WIDTH + 1)}
         self.length = sum(int(np.prod(s)) for s in self.shapes.values())
         if flat is None:
@@ -156,19 +169,20 @@ class Network:
     def pass_(self, around: np.ndarray, target: np.ndarray, learn: bool) -> np.ndarray:
         """Log-probability of each target; with ``learn``, one step of gradient descent as well."""
         code, n = self.code, len(target)
-        steps = self.steps[target]
-        order = np.argsort(steps.astype(np.uint16), kind="stable")  # words with equally long ways together
-        around, first, steps = around[order], code.start[target[order]], steps[order]
+        steps = np.take(self.steps, target)
+        order = np.argsort(steps, kind="stable")  # words with equally long ways together
+        first, steps = np.take(code.start, np.take(target, order)), np.take(steps, order)
+        around = [np.take(around[:, o], order) for o in range(len(OFFSETS))]
         h = np.empty((n, WIDTH + 1), np.float32)
         h[:, WIDTH] = 1
-        np.tanh(sum(self.parts["E"][o][around[:, o]] for o in range(len(OFFSETS))), out=h[:, :WIDTH])
+        np.tanh(sum(np.take(self.parts["E"][o], a, axis=0) for o, a in enumerate(around)), out=h[:, :WIDTH])
         logs, back = np.empty(n, np.float32), np.empty((n, WIDTH), np.float32)
-        nodes, pulls = [], []
+        nodes, pulls, rows = [], [], []
         cuts = np.flatnonzero(np.append(True, steps[1:] != steps[:-1])) if n else []
         for i, j in zip(cuts, [*cuts[1:], n], strict=True):
             at = first[i:j, None] + np.arange(steps[i])
-            node, sign, x = code.node[at], code.sign[at], h[i:j]
-            u = self.parts["U"][node]
+            node, sign, x = np.take(code.node, at), np.take(code.sign, at), h[i:j]
+            u = np.take(self.parts["U"], node, axis=0)
             p = np.einsum("mld,md->ml", u, x)
             p *= -sign
             np.clip(p, -60, 60, out=p)
@@ -179,39 +193,59 @@ class Network:
                 pull = sign * (1 / p - 1)
                 back[i:j] = np.einsum("ml,mld->md", pull, u[:, :, :WIDTH])
                 nodes.append(node.ravel())
-                pulls.append((pull[:, :, None] * x[:, None, :]).reshape(-1, WIDTH + 1))
+                pulls.append(pull.ravel())
+                rows.append(np.repeat(np.arange(i, j, dtype=np.int32), steps[i]))
         if learn and n:
-            self._descend("U", np.s_[:], np.concatenate(nodes), np.concatenate(pulls), n)
+            self._descend("U", np.s_[:], np.concatenate(nodes), h, n, np.concatenate(rows), np.concatenate(pulls))
             back *= 1 - h[:, :WIDTH] ** 2
-            for o in range(len(OFFSETS)):
-                self._descend("E", o, around[:, o], back, n)
+            for o, a in enumerate(around):
+                self._descend("E", o, a, back, n)
         out = np.empty_like(logs)
         out[order] = logs
         return out
 
-    def _descend(self, name: str, part, row: np.ndarray, pull: np.ndarray, n: int) -> None:
-        """One step on the rows of a table that have a pull; repeated rows are summed."""
-        by = np.argsort(row.astype(np.uint16), kind="stable")
-        row = row[by]
+    def _descend(self, name: str, part, row: np.ndarray, pull: np.ndarray, n: int, of: np.ndarray | None = None, by: np.ndarray | None = None) -> None:
+        """One step on the rows of a table that have a pull; repeated rows are summed.
+
+        With ``of`` and ``by``, the pulls are the rows ``of`` of ``pull``, each ``by`` times.
+        """
+        row = row.astype(np.uint16)
+        order = np.argsort(row, kind="stable")
+        row = np.take(row, order)
         first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        at, g = row[first], np.add.reduceat(pull[by], first, axis=0)
+        at, ends = row[first], np.append(first[1:], len(row))
+        g = np.empty((len(at), pull.shape[1]), np.float32)
+        i = 0
+        while i < len(at):
+            j = max(i + 1, int(np.searchsorted(ends, first[i] + PULLS, "right")))
+            some = order[first[i] : ends[j - 1]]
+            x = np.take(pull, some if of is None else np.take(of, some), axis=0)
+            if by is not None:
+                x *= np.take(by, some)[:, None]
+            np.add.reduceat(x, first[i:j] - first[i], axis=0, out=g[i:j])
+            i = j
         g /= np.float32(n)
         table, grown = self.parts[name][part], self.grown[name][part]
-        more = grown[at] + g * g
+        more = np.take(grown, at, axis=0) + g * g
         grown[at] = more
-        table[at] -= np.float32(RATE) * g / np.sqrt(more)
+        g *= np.float32(RATE)
+        g /= np.sqrt(more, out=more)
+        table[at] = np.take(table, at, axis=0) - g
 
 
 def numbers_of(ids: Ids, text: str) -> np.ndarray:
-    return np.array(list(map(ids.__getitem__, split(text))), np.uint16)
+    return ids.of(split(text))[0]
 
 
 def windows(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words around, word, words per text) of all texts' word numbers; texts do not see each other."""
-    gap = np.zeros(max(OFFSETS), np.int64)
-    x = np.concatenate([gap, *(part for own in numbers for part in (own, gap))]).astype(np.int64)
+    gap = np.zeros(max(OFFSETS), np.uint16)
+    x = np.concatenate([gap, *(part for own in numbers for part in (own, gap))])
     at = np.flatnonzero(x)
-    return np.stack([x[at + o] for o in OFFSETS], 1), x[at], np.array([len(own) for own in numbers], np.int64)
+    around = np.empty((len(at), len(OFFSETS)), np.uint16, "F")
+    for k, o in enumerate(OFFSETS):
+        np.take(x, at + o, out=around[:, k], mode="clip")
+    return around, np.take(x, at), np.array([len(own) for own in numbers], np.int64)
 
 
 def _steps(around: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -246,21 +280,20 @@ def encoded(src: DataFrame, vocab: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = known.value
-        ids, own = Ids(vocab.words), set(vocab.words)
+        ids = Ids(vocab.words)
         rid = TaskContext.get().partitionId() << 40  # numbers the rows
         for whole in batches:
             for b in text_blocks(whole, "text"):
-                texts = [split(t) for t in b.column(2).to_pylist()]
-                numbers = [np.array(list(map(ids.__getitem__, t)), np.uint16) for t in texts]
-                rare = [Counter([w for w in t if w not in own]) for t in texts]
+                numbers, others = zip(*(ids.of(split(t.as_py())) for t in b.column(2)))
+                rare = [Counter(words) for words in others]
                 at = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
                 words = pa.ListArray.from_arrays(at, pa.array([w for c in rare for w in c], pa.string()))
                 times = pa.ListArray.from_arrays(at, pa.array([n for c in rare for n in c.values()], pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(rid, rid + len(texts)), pa.int64()), b.column(0), b.column(1), pa.array([len(t) for t in texts], pa.int64()),
+                    [pa.array(range(rid, rid + len(numbers)), pa.int64()), b.column(0), b.column(1), pa.array([len(x) for x in numbers], pa.int64()),
                      pa.array([x.tobytes() for x in numbers], pa.binary()), words, times],
                     ["rid", "doc_id", "key", "n_words", "ids", "words", "times"])
-                rid += len(texts)
+                rid += len(numbers)
 
     return src.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text").mapInArrow(run, schema)
 

@@ -1,6 +1,7 @@
 """Quality classifier, decontamination, license scan and pseudo-likelihood."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -347,3 +348,49 @@ def test_copies_are_averaged_by_their_words(spark, monkeypatch):
     for c in range(3):
         want = np.average([x for _, k, _, x in copies if k == c], axis=0, weights=[n for _, k, n, _ in copies if k == c])
         assert np.allclose(got[c], want, atol=1e-6)
+
+
+def test_a_step_holds_few_pulls_at_a_time_and_sums_them_all():
+    rng = np.random.default_rng(5)
+    size = 3000
+    code = mlm.Code(rng.zipf(1.3, size).clip(max=10**6).tolist())
+    around = rng.integers(0, size, (mlm.STEP_WORDS, len(mlm.OFFSETS)))
+    target = np.minimum(rng.zipf(1.3, mlm.STEP_WORDS), size) - 1
+    net, was = mlm.Network(code), mlm.Network(code)
+    tracemalloc.start()
+    net.pass_(around, target, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    every = 4 * int(np.diff(code.start)[target].sum()) * (mlm.WIDTH + 1)  # the bytes of a step's pulls
+    assert peak < 2 * every
+    # the same step, pull by pull
+    h = np.concatenate([np.tanh(sum(was.parts["E"][o][around[:, o]] for o in range(len(mlm.OFFSETS)))), np.ones((len(target), 1))], 1)
+    steps = np.diff(code.start)[target]
+    word = np.repeat(np.arange(len(target)), steps)
+    at = np.concatenate([np.arange(code.start[t], code.start[t + 1]) for t in target])
+    u = was.parts["U"][code.node[at]]
+    pull = code.sign[at] / (1 + np.exp(code.sign[at] * (u * h[word]).sum(1)))
+    want = {"U": np.zeros(was.shapes["U"]), "E": np.zeros(was.shapes["E"])}
+    np.add.at(want["U"], code.node[at], -pull[:, None] * h[word])
+    back = np.zeros((len(target), mlm.WIDTH))
+    np.add.at(back, word, -pull[:, None] * u[:, : mlm.WIDTH])
+    back *= 1 - h[:, : mlm.WIDTH] ** 2
+    for o in range(len(mlm.OFFSETS)):
+        np.add.at(want["E"][o], around[:, o], back)
+    for name, g in want.items():
+        g /= len(target)
+        more = g * g
+        seen = more > 1e-9  # under the start of the sums of squares, rounding shows
+        step = was.parts[name] - mlm.RATE * g / np.sqrt(1e-6 + more)
+        assert seen.sum() > 500 and np.allclose(net.parts[name][seen], step[seen], atol=2e-3)
+
+
+def test_words_out_of_the_vocabulary_are_numbered_by_their_ending_and_not_kept(monkeypatch):
+    monkeypatch.setattr(mlm, "ENDINGS", 3)
+    ids = mlm.Ids(["fox", "hill"])
+    for words in (["fox", "abcd", "hill", "xbcd", "fox"], [], ["o", "ab", "abc", "abd", "abe"], ["abcd", "hill"]):
+        numbers, others = ids.of(words)
+        assert others == [w for w in words if w not in ("fox", "hill")]
+        assert numbers.dtype == np.uint16
+        assert numbers.tolist() == [{"fox": 1, "hill": 2}.get(w, 3 + mlm.bucket(w)) for w in words]
+    assert len(ids) == 2 and len(ids.endings) <= 3 + 5
