@@ -178,5 +178,5 @@ def test_pipeline_of_awkward_rows(spark, tmp_path):
 
 def test_every_operator_has_one_query():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
