@@ -47,8 +47,8 @@ RATE = 0.08
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_ROUNDS = 300, 16_384, 3
 # Parts of so many numbers of so many trained copies are averaged at a time.
 FAN_IN, CHUNK = 32, 65_536
-# Words that a task holds before it counts them; endings that it remembers.
-HELD, ENDINGS = 3_000_000, 100_000
+# Bytes of words that a task holds before it counts them; endings that it remembers.
+HELD, ENDINGS = 36_000_000, 100_000
 
 
 def split(text: str) -> list[str]:
@@ -124,7 +124,7 @@ def word_counts(src: DataFrame) -> DataFrame:
         for b in batches:
             for t in b.column(0):
                 held.append(pa.array(split(t.as_py()), pa.string()))
-                size += len(held[-1])
+                size += held[-1].nbytes
                 if size > HELD:
                     yield counted(held)
                     held, size = [], 0
